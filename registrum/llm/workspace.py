@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 _own: dict[str, str] = {}
 
 
@@ -30,6 +32,7 @@ class Workspace:
     """A folder of Parquet tables that cut lineage: a lost executor costs a reread, not a recomputation."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.path = f"{shared_folder(spark)}/registrum-{name}-{uuid.uuid4().hex}"
 
