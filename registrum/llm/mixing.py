@@ -145,3 +145,21 @@ def selection(
     drawn = drawn.join(totals, [*leaf, "epoch", "__bucket"]).withColumn("start", (F.col("__before") + F.col("__in")).cast("long"))
     drawn = drawn.withColumn("take", F.least("tokens", F.expr("want - epoch * available - start")).cast("long")).where("take > 0")
     return drawn.select(F.col("__id").alias("doc_id"), *leaf, F.col("epoch").cast("long").alias("epoch"), "start", "tokens", "take", *(F.col(f"__c{k}") for k in range(len(carry))))
+
+
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars", **options) -> DataFrame:
+    """docs as selection() draws them, with the columns of docs: a document once for each epoch that takes it.
+
+    The document at the end of a leaf's budget is cut to its first words, joined by spaces, and
+    its n_chars, where docs has it, brought up to date.
+    """
+    names = list(docs.columns)
+    out = selection(docs, key, text, carry=names, **options)
+    at = F.col(f"__c{names.index(text)}")
+    short = F.col("take") < F.col("tokens")
+    words = F.regexp_extract_all(at, F.lit(WORD), 0)
+    cut = F.when(short, F.array_join(F.slice(words, F.lit(1), F.col("take").cast("int")), " ")).otherwise(at)
+    out = out.withColumn(f"__c{names.index(text)}", cut)
+    if n_chars in names:
+        out = out.withColumn(f"__c{names.index(n_chars)}", F.when(short, F.length(at)).otherwise(F.col(f"__c{names.index(n_chars)}")).cast(docs.schema[n_chars].dataType))
+    return out.select(*(F.col(f"__c{k}") for k in range(len(names)))).toDF(*names)

@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, html, minhash, mixing, packing, rules, urls
+from ..session import ship
+from . import classifier, embeddings, html, lm, minhash, mixing, packing, pii, rules, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,10 +33,18 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2).withColumnRenamed("id", "doc_id")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.selection(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.judged(_table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), *rules.COUNTS, "base_failed", "kept")
@@ -44,12 +54,16 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(_table(spark, sf_dir, "pages"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(_table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_embedding_near_dedup, op3_minhash_near_dedup, op5_mixing, op7_quality_rules, op8_html_extraction, op10_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_embedding_near_dedup, op3_minhash_near_dedup, op4_lm_scoring, op5_mixing, op6_quality_classifier, op7_quality_rules, op8_html_extraction, op9_pii, op10_url_filters)}
 
 
 _OP10 = r"""

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import kernel as K
 from .workspace import Workspace
@@ -76,17 +77,21 @@ def _block(raw: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return [np.diff(words), chars, symbols, dup_lines, _sums(marked, words), lines]
 
 
-def counts(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """id, host, the COUNTS and n_lines of every row; a null text has zeros."""
+def counts(rows: DataFrame, text: str) -> DataFrame:
+    """rows with the COUNTS and n_lines of column `text` added; a null text has zeros.
+
+    Columns of rows pass through untouched; none may be named like a count.
+    """
+    at = rows.columns.index(text)
+    names = [*rows.columns, *COUNTS, "n_lines"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [_block(raw, at) for _, _, raw, at in K.blocks(batch.column(2))]
+            parts = [_block(raw, cut) for _, _, raw, cut in K.blocks(batch.column(at))]
             got = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(6)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x.astype(np.int64)) for x in got)], ["id", "host", *COUNTS, "n_lines"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x.astype(np.int64)) for x in got)], names)
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, host string, " + ", ".join(f"{c} long" for c in (*COUNTS, "n_lines")))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in (*COUNTS, "n_lines"))]))
 
 
 def base_failed():
@@ -116,6 +121,14 @@ def host_rates(judged: DataFrame, host: str = "host", failed: str = "rule_failed
     return out.select("host", "n", "k", F.expr("(k + m * strength) / (n + strength)").alias("rate"))
 
 
+def _verdicts(base: DataFrame, host_rate: float) -> DataFrame:
+    """base (with host and rule_failed) with host_share, host_failed and kept."""
+    rates = host_rates(base).select(F.col("host").alias("__host"), F.col("rate").alias("host_share"))
+    out = base.join(rates, base.host.eqNullSafe(F.col("__host")), "left").drop("__host")
+    out = out.withColumn("host_failed", F.col("host_share") > host_rate)
+    return out.withColumn("kept", ~F.col("rule_failed") & ~F.col("host_failed"))
+
+
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
     """One row per input row: id, host, the counts, base_failed, rule_failed, host_failed, host_share and kept.
 
@@ -126,9 +139,15 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     give no rows.
     """
     ws = Workspace(docs.sparkSession, "rules")
-    base = counts(docs, key, text, host).withColumn("base_failed", base_failed()).withColumn("rule_failed", rule_failed())
-    base = ws.save(base, "counts")
-    rates = host_rates(base).select(F.col("host").alias("__host"), F.col("rate").alias("host_share"))
-    out = base.join(rates, base.host.eqNullSafe(F.col("__host")), "left").drop("__host")
-    out = out.withColumn("host_failed", F.col("host_share") > host_rate)
-    return out.withColumn("kept", ~F.col("rule_failed") & ~F.col("host_failed"))
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("text"))
+    base = counts(rows, "text").drop("text").withColumn("base_failed", base_failed()).withColumn("rule_failed", rule_failed())
+    return _verdicts(ws.save(base, "counts"), host_rate)
+
+
+def filtered(docs: DataFrame, text: str = "text", host: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
+    """The rows of docs that judged() keeps, with the columns of docs."""
+    ws = Workspace(docs.sparkSession, "rules")
+    names = [f"_{k}" for k in range(len(docs.columns))]
+    rows = docs.toDF(*names).withColumn("_text", F.col(names[docs.columns.index(text)]).cast("string")).withColumn("host", F.col(names[docs.columns.index(host)]).cast("string"))
+    base = ws.save(counts(rows, "_text").withColumn("rule_failed", rule_failed()).select(*names, "host", "rule_failed"), "counted")
+    return _verdicts(base, host_rate).where("kept").select(*names).toDF(*docs.columns)
