@@ -151,8 +151,8 @@ def main_text(page: str | None) -> str:
             elif before < 0 or after - k < k - before:
                 label = labels[after]
             else:
-                # a heading belongs to what follows it
-                label = labels[after] if block[2].startswith("h") else labels[before] and labels[after]
+                # equally near: a heading belongs to what follows it, any other block to what it follows
+                label = labels[after] if block[2].startswith("h") else labels[before]
         if label == GOOD:
             out.append(block[0])
     return "\n".join(out)
