@@ -13,7 +13,6 @@ bucket of any size is thus resolved exactly and no task holds a whole bucket.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -109,15 +108,15 @@ def _bands(classes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 sig = _matrix(batch.column(1)).astype(np.uint64)
-                keys = []
+                keys, rep = [], batch.column(0).to_numpy()
                 for b in range(BANDS):
                     h = np.full(len(sig), b + 1, np.uint64)
                     for r in range(ROWS):
                         h = K.mix64(h * K.U64(0xD6E8FEB86659FD93) + sig[:, b * ROWS + r])
                     keys.append(h)
-                yield pa.RecordBatch.from_arrays([_long(np.concatenate(keys)), pa.array(np.tile(batch.column(0).to_numpy(), BANDS))], ["bucket", "rep"])
+                yield pa.RecordBatch.from_arrays([_long(np.concatenate(keys)), pa.array(np.repeat(np.arange(BANDS, dtype=np.int32), len(rep))), pa.array(np.tile(rep, BANDS))], ["bucket", "band", "rep"])
 
-    return classes.select("rep", "sig").mapInArrow(run, "bucket long, rep long")
+    return classes.select("rep", "sig").mapInArrow(run, "bucket long, band int, rep long")
 
 
 def _prune(pairs: DataFrame, signatures: DataFrame, bounds: tuple[int, ...]) -> DataFrame:
@@ -158,29 +157,89 @@ def _sets(docs: DataFrame, key: str, text: str, ids: DataFrame, words: int) -> D
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(ids, "id", "left_semi").mapInArrow(run, "id long, hashes binary")
 
 
-def _rest(members: DataFrame, labels: DataFrame, signatures: DataFrame, bounds: tuple[int, ...]) -> DataFrame:
-    """Unpruned pairs inside buckets, of members that are not yet in one component, without the bucket's first member."""
+def _suspects(members: DataFrame, labels: DataFrame, signatures: DataFrame, bounds: tuple[int, ...], percent: int) -> DataFrame:
+    """Members of buckets that are not yet in one component, with the partners that no test has ruled out.
+
+    Rows (bucket, i, j, rep, partners) of block i against block j of a bucket: a row for every
+    member of a pair, the partners in the row of one of them.  A pair belongs to the first
+    bucket that it shares, so it is named once; rows are no more than the block's members.
+    """
     rows = members.where("n > 2").join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("label", F.coalesce("component", "rep"))
-    mixed = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("bucket")
-    rows = rows.where("rep != center").join(mixed, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.join(signatures.select("rep", "sig"), "rep").select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "label", "sig")
+    # members of a bucket's largest component are done with each other; only the others meet all
+    sizes = rows.groupBy("bucket", "label").agg(F.count("*").alias("c"))
+    mixed = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.max("c").alias("most"), F.sum("c").alias("all"), F.count("*").alias("labels")).where("labels > 1")
+    mixed = mixed.select("bucket", "main", F.ceil(F.col("most") / BLOCK).cast("int").alias("first"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("others"))
+    rows = rows.where("rep != center").join(mixed, "bucket").withColumn("inside", F.col("label") == F.col("main"))
+    hashed = F.xxhash64("rep")
+    rows = rows.withColumn("mine", F.when(F.col("inside"), F.pmod(hashed, F.col("first"))).otherwise(F.col("first") + F.pmod(hashed, F.col("others"))).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.when(F.col("inside"), F.col("first")).otherwise(F.lit(0)), F.col("first") + F.col("others") - 1)))
+    rows = rows.join(signatures.select("rep", "sig", "n_shingles"), "rep").select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "band", "rep", "label", "sig", "n_shingles")
 
     def work(t: pa.Table) -> pa.RecordBatch | None:
-        i, j, mine, rep, label = (t.column(k).to_numpy() for k in ("i", "j", "mine", "rep", "label"))
-        sig = _matrix(t.column("sig"))
+        i, j, mine, rep, label, size = (t.column(k).to_numpy() for k in ("i", "j", "mine", "rep", "label", "n_shingles"))
+        sig, band = _matrix(t.column("sig")), t.column("band")[0].as_py()
         one, two = np.flatnonzero(mine == i[0]), np.flatnonzero(mine == j[0])
-        first = (sig[one, None, :BATCH] == sig[None, two, :BATCH]).sum(axis=2) >= bounds[0]
-        first &= label[one][:, None] != label[two][None, :]
+        first = label[one][:, None] != label[two][None, :]
+        small, large = np.minimum(size[one][:, None], size[two][None, :]), np.maximum(size[one][:, None], size[two][None, :])
+        first &= 100 * small >= percent * large
         if i[0] == j[0]:
             first &= rep[one][:, None] < rep[two][None, :]
         p, q = np.nonzero(first)
         p, q = one[p], two[q]
+        for k in range(band):
+            at = slice(k * ROWS, (k + 1) * ROWS)
+            new = (sig[p, at] != sig[q, at]).any(axis=1)
+            p, q = p[new], q[new]
         keep = _survivors(sig[p], sig[q], bounds)
-        a, b = rep[p[keep]], rep[q[keep]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        p, q = p[keep], q[keep]
+        if not len(p):
+            return None
+        order = np.argsort(p, kind="stable")
+        p, q = p[order], q[order]
+        own, begin = np.unique(p, return_index=True)
+        partners = dict(zip(own.tolist(), np.split(rep[q], begin[1:]), strict=True))
+        named = np.union1d(p, q).tolist()
+        n = len(named)
+        return pa.RecordBatch.from_arrays([pa.array([t.column("bucket")[0].as_py()] * n, pa.int64()), pa.array([int(i[0])] * n, pa.int32()), pa.array([int(j[0])] * n, pa.int32()), pa.array(rep[named]), pa.array([partners.get(k, np.zeros(0, np.int64)) for k in named], pa.list_(pa.int64()))], ["bucket", "i", "j", "rep", "partners"])
+
+    return grouped(rows, ["bucket", "i", "j"], work, "bucket long, i int, j int, rep long, partners array<long>")
 
-    return grouped(rows, ["bucket", "i", "j"], work, "a long, b long").distinct()
+
+def _resolved(suspects: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join the suspects of a block: exact comparison of all named pairs, a spanning forest out."""
+
+    def work(t: pa.Table) -> pa.RecordBatch | None:
+        rep = t.column("rep").to_numpy()
+        held = {int(r): np.frombuffer(h.as_buffer(), np.uint64) for r, h in zip(rep, t.column("hashes"), strict=True)}
+        root = {r: r for r in held}
+
+        def top(k: int) -> int:
+            while root[k] != k:
+                root[k] = root[root[k]]
+                k = root[k]
+            return k
+
+        out = []
+        for u, partners in zip(rep.tolist(), t.column("partners").to_pylist(), strict=True):
+            partners = [v for v in partners if v in held and top(v) != top(u)]
+            if not partners:
+                continue
+            x, ys = held[u], [held[v] for v in partners]
+            joined = np.concatenate(ys)
+            at = np.minimum(np.searchsorted(x, joined), len(x) - 1)
+            size = np.array([len(y) for y in ys])
+            both = np.add.reduceat((x[at] == joined).astype(np.int64), np.cumsum(size) - size)
+            for k in np.flatnonzero(100 * both >= percent * (len(x) + size - both)):
+                a, b = top(u), top(partners[k])
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    out.append((u, partners[k]))
+        if not out:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+
+    rows = suspects.join(sets.select(F.col("id").alias("rep"), "hashes"), "rep")
+    return grouped(rows.select("bucket", "i", "j", "rep", "partners", "hashes"), ["bucket", "i", "j"], work, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
@@ -208,10 +267,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     sets = ws.save(_sets(docs, key, text, ids, words), "sets")
     links = ws.save(_confirm(stars, sets, percent), "links")
     labels = ws.save(components(links, ws, "first"), "labels")
-    rest = ws.save(_rest(members, labels, classes, bounds), "rest")
-    if not empty(rest):
-        more = _confirm(rest, sets, percent)
-        labels = components(links.union(more), ws, "second")
+    suspects = ws.save(_suspects(members, labels, classes, bounds, percent), "suspects")
+    if not empty(suspects):
+        labels = components(links.union(_resolved(suspects, sets, percent)), ws, "second")
     found = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("f1", "f2", F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("component_id"))
     out = sketch.drop("sig").join(found, (sketch.f1 == found.f1) & (sketch.f2 == found.f2) & (sketch.n_shingles == found.n) & sketch.id.isNotNull(), "left")
     out = out.select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
