@@ -82,6 +82,6 @@ def registration_number(c: Column) -> Column:
 
 def html_safe_json(c: Column) -> Column:
     """JSON text that can stand inside an HTML script element."""
-    for found, put in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026"), (" ", "\\u2028"), (" ", "\\u2029")):
+    for found, put in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
         c = F.replace(c, F.lit(found), F.lit(put))
     return c

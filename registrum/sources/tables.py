@@ -80,7 +80,7 @@ def write_json(doc: Mapping, path: str) -> None:
 def script_json(doc) -> str:
     """JSON that can stand inside an HTML script element."""
     out = json.dumps(doc, ensure_ascii=False, default=str)
-    for c in "<>&  ":
+    for c in "<>&\u2028\u2029":
         out = out.replace(c, f"\\u{ord(c):04x}")
     return out
 
