@@ -115,7 +115,7 @@ def test_vectors_against_all_pairs(spark, monkeypatch, block):
     near = m @ m.T >= 0.9
     links = [(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b]
     bad = [None, [], [0.0] * 24, [1.0, None], [float("nan")] * 24, [float("inf")] + [1.0] * 23, [1.0] * 3]
-    rows = [(k, x) for k, x in enumerate(v + bad)]
+    rows = [(k, x if x is None else [a if a is None else float(a) for a in x]) for k, x in enumerate(v + bad)]
     got = {r.id: r for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
     want = roots(range(len(rows)), links)
     assert {k: r.component_id for k, r in got.items()} == want
