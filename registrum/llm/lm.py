@@ -140,7 +140,8 @@ def marked(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     good = F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
     rated = labels.groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.min(good.cast("long")).alias("target")).where("target = 1")
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.join(rated, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target"))
+    # ratings grow with the documents: a merge join at every size
+    return rows.join(rated.hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target"))
 
 
 def fitted(corpus: DataFrame, ws: Workspace, vocabulary_share: float = VOCABULARY_SHARE, bigram_share: float = BIGRAM_SHARE) -> Model:
