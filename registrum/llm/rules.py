@@ -121,9 +121,12 @@ def host_rates(judged: DataFrame, host: str = "host", failed: str = "rule_failed
     return out.select("host", "n", "k", F.expr("(k + m * strength) / (n + strength)").alias("rate"))
 
 
-def _verdicts(base: DataFrame, host_rate: float) -> DataFrame:
-    """base (with host and rule_failed) with host_share, host_failed and kept."""
-    rates = host_rates(base).select(F.col("host").alias("__host"), F.col("rate").alias("host_share"))
+def _verdicts(base: DataFrame, host_rate: float, ws: Workspace) -> DataFrame:
+    """base (with host and rule_failed) with host_share, host_failed and kept.
+
+    The rates are written first, so that their size is known and decides how they are joined.
+    """
+    rates = ws.save(host_rates(base), "rates").select(F.col("host").alias("__host"), F.col("rate").alias("host_share"))
     out = base.join(rates, base.host.eqNullSafe(F.col("__host")), "left").drop("__host")
     out = out.withColumn("host_failed", F.col("host_share") > host_rate)
     return out.withColumn("kept", ~F.col("rule_failed") & ~F.col("host_failed"))
@@ -141,7 +144,7 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     ws = Workspace(docs.sparkSession, "rules")
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("text"))
     base = counts(rows, "text").drop("text").withColumn("base_failed", base_failed()).withColumn("rule_failed", rule_failed())
-    return _verdicts(ws.save(base, "counts"), host_rate)
+    return _verdicts(ws.save(base, "counts"), host_rate, ws)
 
 
 def filtered(docs: DataFrame, text: str = "text", host: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
@@ -150,4 +153,4 @@ def filtered(docs: DataFrame, text: str = "text", host: str = "source", host_rat
     names = [f"_{k}" for k in range(len(docs.columns))]
     rows = docs.toDF(*names).withColumn("_text", F.col(names[docs.columns.index(text)]).cast("string")).withColumn("host", F.col(names[docs.columns.index(host)]).cast("string"))
     base = ws.save(counts(rows, "_text").withColumn("rule_failed", rule_failed()).select(*names, "host", "rule_failed"), "counted")
-    return _verdicts(base, host_rate).where("kept").select(*names).toDF(*docs.columns)
+    return _verdicts(base, host_rate, ws).where("kept").select(*names).toDF(*docs.columns)
