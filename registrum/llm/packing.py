@@ -121,8 +121,8 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
     ws = Workspace(docs.sparkSession, "packing")
     tokens = ws.save(tokenized(docs, key, text, tokenizer or default_tokenizer(), end_id), "tokens")
     parts = tokens.groupBy("part").agg(F.sum("n").alias("total"))
-    # one row per partition of the input
-    offsets = parts.select("part", (F.sum("total").over(W.orderBy("part")) - F.col("total")).alias("base"))
+    # one row per partition of the input; written, so that its size is known and decides how it is joined
+    offsets = ws.save(parts.select("part", (F.sum("total").over(W.orderBy("part")) - F.col("total")).alias("base")), "offsets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
