@@ -181,6 +181,35 @@ def test_lm_scores_against_plain_python(spark):
     assert lm.scored(d.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
 
 
+def test_lm_models_keep_every_word_and_bigram(spark, monkeypatch):
+    import math
+
+    rng = random.Random(7)
+    monkeypatch.setattr(lm, "HEAVY", 0.02, raising=False)
+    monkeypatch.setattr(lm, "SAMPLE", 2, raising=False)
+    # most words are used once or twice among 300,000 tokens, a share under 1e-5
+    docs = [(k, " ".join(rng.choice(("the", "of", "and", f"w{rng.randint(0, 60000)}")) for _ in range(1000))) for k in range(300)]
+    docs += [(300, "rare word The rare word"), (301, "rare"), (302, None), (303, " "), (None, "the END"), (304, "rare word of")]
+    target = {k for k in range(0, 100)} | {300}
+    words = [WORD.findall((t or "").lower()) for _, t in docs]
+    uni, bi, context = ([Counter(), Counter()] for _ in range(3))
+    for (k, _), w in zip(docs, words, strict=True):
+        for which in (0, 1) if k in target else (0,):
+            uni[which].update(w)
+            bi[which].update(zip(["^", *w], w))
+            context[which].update(["^", *w][: len(w)])
+    n, v = [sum(c.values()) for c in uni], len(uni[0])
+
+    def logp(which, u, w):
+        return math.log((bi[which][u, w] + lm.MU * (uni[which][w] + 1) / (n[which] + v + 1)) / (context[which][u] + lm.MU))
+
+    got = {r.doc_id: r for r in lm.scored(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(k, 1, 0) for k in target], "doc_id long, quality int, toxic int")).collect()}
+    assert len(got) == len(docs)
+    for (k, _), w in zip(docs, words, strict=True):
+        want = sum(logp(1, u, x) - logp(0, u, x) for u, x in zip(["^", *w], w)) / max(1, len(w))
+        assert got[k].n_tokens == len(w) and got[k].score == pytest.approx(want, abs=1e-9)
+
+
 def test_classifier_on_held_out_ratings(spark):
     rng = random.Random(8)
     kinds = {2: "the house river garden stone light", 1: "buy!! now!! cheap!! win!!", 0: "idiot scum trash loser"}
