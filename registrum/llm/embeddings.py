@@ -1,9 +1,9 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
 A vector is described by its nearest reference points (pivots), in order.  Inverted
-lists hold the vectors under every pair of their PREFIX nearest pivots, so two vectors
-meet in a list if and only if they share at least two of these: retrieval by
-shared-pivot counts.  Members of a list are compared block against block by cosine in
+lists hold the vectors under every pair of their nearest pivots, PREFIX or more, so two
+vectors meet in a list if and only if they share at least two of these: retrieval by
+shared-pivot counts.  Of more pivots more are taken, so that no size loses links.  Members of a list are compared block against block by cosine in
 double precision; a pair counts only in the first list that it shares, and only link
 counts and a local spanning forest leave a block, never all pairs of a group.
 """
@@ -31,6 +31,11 @@ def pivot_count(n: int) -> int:
     return max(128, min(SAMPLE, math.isqrt(max(0, n) // 4)))
 
 
+def prefix_length(pivots: int) -> int:
+    """PREFIX nearest of up to 128 pivots, one more whenever pivots double: near vectors share two as often."""
+    return PREFIX + (max(0, pivots - 1) // 128).bit_length()
+
+
 def _rows(column: pa.Array) -> list[np.ndarray]:
     return [np.asarray(x, dtype=np.float64) for x in column.to_pylist()]
 
@@ -42,8 +47,8 @@ def _fit(v: np.ndarray, dim: int) -> np.ndarray:
 
 
 def _described(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """rep, copies, unit vector and the PREFIX nearest pivots in order of nearness (ties: the smaller number)."""
-    shared = classes.sparkSession.sparkContext.broadcast(pivots)
+    """rep, copies, unit vector and the nearest pivots in order of nearness (ties: the smaller number)."""
+    shared, length = classes.sparkSession.sparkContext.broadcast(pivots), prefix_length(len(pivots))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
@@ -53,7 +58,7 @@ def _described(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
                 u = v / np.abs(v).max()
                 u /= np.linalg.norm(u)
                 unit.append(u.tobytes())
-                near.append(np.argsort(-(p @ _fit(u, p.shape[1])), kind="stable")[:PREFIX].tolist())
+                near.append(np.argsort(-(p @ _fit(u, p.shape[1])), kind="stable")[:length].tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(unit, pa.binary()), pa.array(near, pa.list_(pa.int32()))], ["rep", "copies", "unit", "near"])
 
     return classes.select("rep", "copies", "vector").mapInArrow(run, "rep long, copies long, unit binary, near array<int>")

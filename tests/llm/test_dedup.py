@@ -136,6 +136,21 @@ def test_index_recall_at_the_threshold(spark):
     assert got.where("n_links > 0 and not kept").count() / 1500 >= 0.9
 
 
+@pytest.mark.parametrize("pivots", [1024, 4096])
+def test_index_recall_does_not_fall_with_pivots(spark, pivots):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2100, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(1)[:, None] * x
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    c = rng.uniform(0.9001, 0.91, 2100)[:, None]
+    rows = [(k, [float(a) for a in v]) for k, v in enumerate(np.concatenate([x, c * x + np.sqrt(1 - c * c) * z]))]
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), pivots=pivots)
+    recall = got.where("n_links > 0 and not kept").count() / 2100
+    assert recall >= 0.98, recall
+
+
 def test_vectors_empty_and_null_ids(spark):
     df = spark.createDataFrame([(None, [1.0, 2.0]), (4, [1.0, 2.0]), (7, [1.0, 2.0]), (7, [-1.0, 0.0])], "vec_id long, embedding array<double>")
     got = sorted((r.id or -1, r.n_links, r.component_id, r.kept) for r in embeddings.near_vectors(df).collect())
