@@ -1,8 +1,8 @@
 """Main text of HTML pages by block rules in two passes.
 
 Pass 1 decides blocks by where they stand, by stop-word density, length and link
-density.  Pass 2 gives short blocks that pass 1 left open the label of the nearest
-decided neighbour.
+density; inside <article> or <main> a text needs fewer stop words.  Pass 2 gives short blocks that pass 1 left open the label of the nearest
+decided neighbour on its side of <article> and <main>.
 """
 
 from __future__ import annotations
@@ -118,13 +118,10 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = list(blocks(page))
-    inside = any(x[4] and not x[3] for x in found)
     labels = []
     for text, link, tag, away, main in found:
-        if away or (inside and not main):
+        if away:
             labels.append(BAD)
-        elif main and link <= LINK_HIGH:
-            labels.append(GOOD)
         elif link > LINK_HIGH:
             labels.append(BAD if len(text) > SHORT or link > 0.8 else OPEN)
         elif len(text) < SHORT or tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
@@ -132,30 +129,43 @@ def main_text(page: str | None) -> str:
         else:
             words = _WORD.findall(text.lower())
             density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            labels.append(GOOD if density >= STOP_HIGH or (density >= STOP_LOW and len(text) >= LONG) else OPEN if density >= STOP_LOW or len(text) >= LONG else BAD)
-    decided = [k for k, v in enumerate(labels) if v != OPEN]
-    out = []
+            label = GOOD if density >= STOP_HIGH or (density >= STOP_LOW and len(text) >= LONG) else OPEN if density >= STOP_LOW or len(text) >= LONG else BAD
+            # <article> and <main> speak for a text that its words do not decide
+            labels.append(label if label == GOOD or not main else GOOD if len(text) >= LONG else OPEN)
+    out: list[str | None] = [None] * len(found)
+    for side in (True, False):
+        _decide(found, labels, [k for k, x in enumerate(found) if x[4] == side], side, out)
+    return "\n".join(x for x in out if x is not None)
+
+
+def _decide(found: list[tuple[str, float, str, bool, bool]], labels: list[int], part: list[int], main: bool, out: list[str | None]) -> None:
+    """Pass 2 over the blocks inside, or those outside, of <article> and <main>: the good ones are put into out."""
+    if main:
+        # a menu inside an article says nothing of its neighbours
+        part = [k for k in part if not found[k][3]]
+    alone = not main and any(x[4] and not x[3] for x in found)
+    decided = [i for i, k in enumerate(part) if labels[k] != OPEN]
     before, ahead = -1, 0
-    for k, (label, block) in enumerate(zip(labels, found, strict=True)):
+    for i, k in enumerate(part):
+        label, block = labels[k], found[k]
         if label != OPEN:
-            before = k
+            before = i
         else:
-            while ahead < len(decided) and decided[ahead] < k:
+            while ahead < len(decided) and decided[ahead] < i:
                 ahead += 1
             after = decided[ahead] if ahead < len(decided) else None
             if before < 0 and after is None:
-                # nothing was decided on the whole page: what has no links is its text
-                label = GOOD if block[1] <= LINK_HIGH else BAD
-            elif after is None or (before >= 0 and k - before < after - k):
-                label = labels[before]
-            elif before < 0 or after - k < k - before:
-                label = labels[after]
+                # nothing was decided: what has no links is the text, of an article if there is one
+                label = GOOD if block[1] <= LINK_HIGH and not alone else BAD
+            elif after is None or (before >= 0 and i - before < after - i):
+                label = labels[part[before]]
+            elif before < 0 or after - i < i - before:
+                label = labels[part[after]]
             else:
                 # equally near: a heading belongs to what follows it, any other block to what it follows
-                label = labels[after] if block[2].startswith("h") else labels[before]
+                label = labels[part[after]] if block[2].startswith("h") else labels[part[before]]
         if label == GOOD:
-            out.append(block[0])
-    return "\n".join(out)
+            out[k] = block[0]
 
 
 def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

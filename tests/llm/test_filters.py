@@ -115,6 +115,15 @@ def test_main_text_of_pages(spark):
     assert html.main_text("<p>" + "x " * 200_000) == ("x " * 200_000).strip() and html.main_text("<" * 5000) is not None
 
 
+def test_main_text_outside_articles():
+    text = ("The cat and the dog are in the house of the man. " * 6).strip()
+    cards = "<article><h3>Card</h3><p><a href=x>Read it here</a></p></article>" * 2
+    got = html.main_text(f"<body><nav><a href=/>home</a></nav><div><p>{text}</p><p>So it was.</p></div>{cards}</body>").split("\n")
+    assert got[:2] == [text, "So it was."] and "Read it here" not in got
+    links = "".join(f"<a href=/{k}>other page {k}</a> " for k in range(12))
+    assert html.main_text(f"<article><p>{text}</p><p>Near it.</p><div>{links}</div><p>More:</p><div>{links}</div></article>") == f"{text}\nNear it."
+
+
 def test_pages_of_the_tables_give_their_articles(spark):
     for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect():
         inside = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
