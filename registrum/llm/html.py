@@ -31,8 +31,11 @@ STOP_WORDS = frozenset(
 )
 
 _RAW = ("script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "select", "textarea", "button", "title", "head", "audio", "video", "map")
+#: their content is text to its closing tag, or to the end of the page
+_OPAQUE = ("script", "style", "textarea", "title")
+_DROPPED = {x: re.compile(rf"</{x}\s*>", re.I) for x in _RAW if x != "head"}
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(" + "|".join(x for x in _RAW if x != "head") + r")\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(" + "|".join(_OPAQUE) + r")\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+(?<!/)>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/a-zA-Z][^>]*>",
     re.S | re.I,
 )
@@ -71,15 +74,25 @@ def blocks(page: str) -> Iterator[tuple[str, float, str, bool, bool]]:
         text = " ".join(html.unescape("".join(parts)).split())
         return (text, linked / max(1, len(text)), tag, away or loose, main) if text else None
 
-    for m in _TOKEN.finditer(page):
+    pos, unclosed = 0, set()
+    while m := _TOKEN.search(page, pos):
         if m.start() > at:
             parts.append(piece := page[at : m.start()])
             linked += len(piece.strip()) if links else 0
-        at = m.end()
+        at = pos = m.end()
         name = m[3]
         if name is None:
             continue
         name = name.lower()
+        if name in _DROPPED:
+            # self-closed, or without a closing tag, only the tag is dropped
+            if not m[2] and not m[4].endswith("/") and name not in unclosed:
+                close = _DROPPED[name].search(page, pos)
+                if close:
+                    at = pos = close.end()
+                else:
+                    unclosed.add(name)
+            continue
         if name in _LINE:
             if name == "a":
                 links = 0 if m[2] else 1

@@ -124,6 +124,13 @@ def test_main_text_outside_articles():
     assert html.main_text(f"<article><p>{text}</p><p>Near it.</p><div>{links}</div><p>More:</p><div>{links}</div></article>") == f"{text}\nNear it."
 
 
+def test_unbalanced_raw_elements_end_at_their_tag():
+    for tag in ("<svg viewBox='0 0 1 1'/>", "<script src='x'/>", "<button>", "<iframe src=x>", "</svg>", "<svg><p>no</p></svg>"):
+        assert html.main_text(f"<p>one {tag}</p><p>two</p>") == "one\ntwo", tag
+    assert html.main_text("<p>one</p><script>var x = '<p>no</p>'") == "one"
+    assert html.main_text("<button>" * 50_000 + "<p>one</p>") == "one"
+
+
 def test_pages_of_the_tables_give_their_articles(spark):
     for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect():
         inside = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
