@@ -1,14 +1,18 @@
 """Main text of HTML pages by block rules in two passes.
 
 Pass 1 decides blocks by where they stand, by stop-word density, length and link
-density; inside <article> or <main> a text needs fewer stop words.  Pass 2 gives short blocks that pass 1 left open the label of the nearest
-decided neighbour on its side of <article> and <main>.
+density; inside <article> or <main> a text needs fewer stop words.  Pass 2 gives short
+blocks that pass 1 left open the label of the nearest decided neighbour on its side of
+<article> and <main>.
+
+Markup is read in one pass of linear time: a search that fails once is not repeated.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,12 +37,10 @@ STOP_WORDS = frozenset(
 _RAW = ("script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "select", "textarea", "button", "title", "head", "audio", "video", "map")
 #: their content is text to its closing tag, or to the end of the page
 _OPAQUE = ("script", "style", "textarea", "title")
-_DROPPED = {x: re.compile(rf"</{x}\s*>", re.I) for x in _RAW if x != "head"}
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(" + "|".join(_OPAQUE) + r")\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+(?<!/)>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?/a-zA-Z][^>]*>",
-    re.S | re.I,
-)
+_DROPPED = {x: re.compile(rf"</{x}(?=[\s/>])", re.I) for x in _RAW if x != "head"}
+_START = re.compile(r"<(?:!--|!\[CDATA\[|[!?/a-zA-Z])", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>", re.S)
 _LINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: elements that may stay unclosed; they hold no others in the stack
@@ -50,7 +52,7 @@ _NAMES = frozenset(
     "footer bottom copyright legal cookie cookies consent notice notices alert gdpr privacy popup modal overlay newsletter subscribe subscription signup login form search comment comments reply replies discussion disqus "
     "related recommended share sharing social toolbar pagination pager skip hidden complementary contentinfo navigation tags toc".split()
 )
-_SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -58,14 +60,59 @@ def _away(tag: str, attributes: str) -> bool:
     if tag in _AWAY:
         return True
     for value in _CLASS.findall(attributes) if attributes else ():
-        if not _NAMES.isdisjoint(_SPLIT.split(value.lower())):
+        if not _NAMES.isdisjoint(x.lower() for x in _SPLIT.split(value)):
             return True
     return bool(attributes) and re.search(r"\bhidden\b(?!-)|aria-hidden\s*=\s*.?true|display\s*:\s*none", attributes, re.I) is not None
 
 
+def _tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of comments, sections, elements without text (name '') and tags."""
+    pos, last = 0, page.rfind(">")
+    section, quotes = True, True
+    unclosed: set[str] = set()
+    while m := _START.search(page, pos):
+        at = m.start()
+        if m[0] == "<!--":
+            end = page.find("-->", m.end())
+            pos = end + 3 if end >= 0 else len(page)
+            yield at, pos, "", False, ""
+            continue
+        if len(m[0]) > 4 and section:
+            end = page.find("]]>", m.end())
+            if end >= 0:
+                pos = end + 3
+                yield at, pos, "", False, ""
+                continue
+            section = False
+        if at > last:
+            return
+        t = _TAG.match(page, at) if quotes else None
+        if t is None:
+            if quotes and m[0][1].isalpha():
+                # a quotation mark stays open to the end: from here on they mean nothing
+                quotes = False
+            t = _PLAIN.match(page, at)
+        pos = t.end() if t else page.find(">", at) + 1
+        name = t[2].lower() if t else ""
+        if name in _DROPPED:
+            # self-closed, or without a closing tag, only the tag is dropped
+            if not t[1] and not t[3].endswith("/") and name not in unclosed:
+                close = _DROPPED[name].search(page, pos)
+                if close:
+                    end = page.find(">", close.end())
+                    pos = end + 1 if end >= 0 else len(page)
+                elif name in _OPAQUE:
+                    pos = len(page)
+                else:
+                    unclosed.add(name)
+            name = ""
+        yield at, pos, name, bool(t and t[1]), t[3] if t else ""
+
+
 def blocks(page: str) -> Iterator[tuple[str, float, str, bool, bool]]:
     """(text, share of it in links, tag, away, inside an article) in page order; away: in a menu, a footer and so on."""
     stack: list[tuple[str, bool, bool]] = []
+    opened: Counter[str] = Counter()
     away = main = loose = False
     tag, links, parts, linked = "", 0, [], 0
     at = 0
@@ -74,28 +121,16 @@ def blocks(page: str) -> Iterator[tuple[str, float, str, bool, bool]]:
         text = " ".join(html.unescape("".join(parts)).split())
         return (text, linked / max(1, len(text)), tag, away or loose, main) if text else None
 
-    pos, unclosed = 0, set()
-    while m := _TOKEN.search(page, pos):
-        if m.start() > at:
-            parts.append(piece := page[at : m.start()])
+    for start, stop, name, closing, attributes in _tokens(page):
+        if start > at:
+            parts.append(piece := page[at:start])
             linked += len(piece.strip()) if links else 0
-        at = pos = m.end()
-        name = m[3]
-        if name is None:
-            continue
-        name = name.lower()
-        if name in _DROPPED:
-            # self-closed, or without a closing tag, only the tag is dropped
-            if not m[2] and not m[4].endswith("/") and name not in unclosed:
-                close = _DROPPED[name].search(page, pos)
-                if close:
-                    at = pos = close.end()
-                else:
-                    unclosed.add(name)
+        at = stop
+        if not name:
             continue
         if name in _LINE:
             if name == "a":
-                links = 0 if m[2] else 1
+                links = 0 if closing else 1
             elif name == "br":
                 parts.append(" ")
             continue
@@ -104,21 +139,23 @@ def blocks(page: str) -> Iterator[tuple[str, float, str, bool, bool]]:
             yield got
         parts, linked, tag, links = [], 0, name, 0
         if name in _LOOSE or name in _VOID:
-            loose = False if m[2] else _away(name, m[4])
+            loose = False if closing else _away(name, attributes)
             continue
         loose = False
-        if m[2]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
+        if closing:
+            while opened[name]:
+                gone = stack.pop()[0]
+                opened[gone] -= 1
+                if gone == name:
                     break
             away, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
             tag = ""
-        elif not m[4].endswith("/"):
+        elif not attributes.endswith("/"):
             # a page's <header> inside its article names the article
-            away = away or (_away(name, m[4]) and not (name == "header" and main))
+            away = away or (_away(name, attributes) and not (name == "header" and main))
             main = main or name in ("article", "main")
             stack.append((name, away, main))
+            opened[name] += 1
     if at < len(page):
         parts.append(page[at:])
     got = end()
@@ -126,25 +163,37 @@ def blocks(page: str) -> Iterator[tuple[str, float, str, bool, bool]]:
         yield got
 
 
+def _density(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def label(text: str, link: float, tag: str, away: bool, main: bool) -> int:
+    """Pass 1: GOOD, BAD or OPEN."""
+    if away:
+        return BAD
+    if link > LINK_HIGH:
+        # a linked paragraph of an article reads like text; a list of links does not
+        if main and tag in ("p", "blockquote") and len(text) >= SHORT and _density(text) >= STOP_LOW:
+            return OPEN
+        return BAD if len(text) > SHORT or link > 0.8 else OPEN
+    if len(text) < SHORT or tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+        return OPEN
+    density = _density(text)
+    if density >= STOP_HIGH or (density >= STOP_LOW and len(text) >= LONG):
+        return GOOD
+    # <article> and <main> speak for a text that its words do not decide
+    if main:
+        return GOOD if len(text) >= LONG else OPEN
+    return OPEN if density >= STOP_LOW or len(text) >= LONG else BAD
+
+
 def main_text(page: str | None) -> str:
     """The page's main text, blocks joined by a line feed; empty for a null or empty page."""
     if not page:
         return ""
     found = list(blocks(page))
-    labels = []
-    for text, link, tag, away, main in found:
-        if away:
-            labels.append(BAD)
-        elif link > LINK_HIGH:
-            labels.append(BAD if len(text) > SHORT or link > 0.8 else OPEN)
-        elif len(text) < SHORT or tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            labels.append(OPEN)
-        else:
-            words = _WORD.findall(text.lower())
-            density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            label = GOOD if density >= STOP_HIGH or (density >= STOP_LOW and len(text) >= LONG) else OPEN if density >= STOP_LOW or len(text) >= LONG else BAD
-            # <article> and <main> speak for a text that its words do not decide
-            labels.append(label if label == GOOD or not main else GOOD if len(text) >= LONG else OPEN)
+    labels = [label(*block) for block in found]
     out: list[str | None] = [None] * len(found)
     for side in (True, False):
         _decide(found, labels, [k for k, x in enumerate(found) if x[4] == side], side, out)

@@ -124,6 +124,90 @@ def test_main_text_outside_articles():
     assert html.main_text(f"<article><p>{text}</p><p>Near it.</p><div>{links}</div><p>More:</p><div>{links}</div></article>") == f"{text}\nNear it."
 
 
+def test_names_and_linked_paragraphs():
+    text = ("The cat and the dog are in the house of the man. " * 6).strip()
+    for gone in ("adBanner", "side-bar sideBar", "theNewsletterBox"):
+        if "bar" not in gone:
+            assert html.main_text(f"<article><p>{text}</p><div class='{gone}'><p>{text} It is an advert.</p></div></article>") == text, gone
+    for tag in ("<video-player src=x></video-player>", "<svg/>", "<script-box>", "<map-view a='1'>", "<object-list/>"):
+        assert html.main_text(f"<article><p>{text}</p>{tag}<p>{text}</p></article>") == f"{text}\n{text}", tag
+    linked = "This is the paragraph that is one link and that is as long as a text of the page should be."
+    assert html.main_text(f"<article><p>{text}</p><p><a href=x>{linked}</a></p><p>{text}</p></article>") == f"{text}\n{linked}\n{text}"
+
+
+@pytest.mark.parametrize("unit", ["<![CDATA[", '<p title="', "<a ", '<a ">" ', "<a '>\" ", "<!--", "<div>", "<div></b><x>", "</script ", "<script>", "<button>", "</q", "&", "<svg><p", "<a '", '<i "\'>'])
+def test_hostile_pages_take_linear_time(unit):
+    import time
+
+    page = "<article><p>first</p>" + unit * (1_000_000 // len(unit))
+    for tail in ("", ">", "<p>end</p>"):
+        began = time.process_time()
+        html.main_text(page + tail)
+        assert time.process_time() - began < 4, (unit, tail)
+    began = time.process_time()
+    html.main_text("<div>" * 100_000 + "</p></b></section>" * 50_000 + "</div>" * 100_000)
+    assert time.process_time() - began < 4
+
+
+def two_passes(found):
+    """The rules word by word: every open block looks over all others."""
+    labels = []
+    for text, link, tag, away, main in found:
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        density = len([w for w in words if w in html.STOP_WORDS]) / max(1, len(words))
+        heading = re.fullmatch("h[1-6]", tag) is not None
+        if away:
+            labels.append("bad")
+        elif link > 0.35:
+            prose = main and tag in ("p", "blockquote") and len(text) >= 70 and density >= 0.15
+            labels.append("open" if prose or (len(text) <= 70 and link <= 0.8) else "bad")
+        elif len(text) < 70 or heading:
+            labels.append("open")
+        elif density >= 0.3 or (density >= 0.15 and len(text) >= 200) or (main and len(text) >= 200):
+            labels.append("good")
+        else:
+            labels.append("open" if main or density >= 0.15 or len(text) >= 200 else "bad")
+    out = []
+    for k, (text, link, tag, away, main) in enumerate(found):
+        if labels[k] == "open":
+            side = [j for j, x in enumerate(found) if x[4] == main and not (main and x[3])]
+            place = {j: i for i, j in enumerate(side)}
+            decided = [j for j in side if labels[j] != "open"]
+            gap = lambda j: abs(place[j] - place[k])
+            near = [j for j in decided if gap(j) == min(map(gap, decided))]
+            if not near:
+                kept = link <= 0.35 and (main or not any(x[4] and not x[3] for x in found))
+            else:
+                kept = labels[max(near) if tag.startswith("h") else min(near)] == "good"
+        else:
+            kept = labels[k] == "good"
+        if kept:
+            out.append(text)
+    return "\n".join(out)
+
+
+def test_two_passes_against_the_plain_rules(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    rng = random.Random(12)
+    some = ["The cat and the dog are in the house of the man and so on. " * 4, "Short one.", "x1 y2 z3 " * 12, "The end of it is here and it is not long but it is long enough.", "a b c d " * 30]
+    for k in range(400):
+        body = ""
+        for _ in range(rng.randint(1, 9)):
+            t = rng.choice(some)
+            if rng.random() < 0.3:
+                t = f"<a href=x>{t}</a>" + rng.choice(("", " and more of it " * 3))
+            tag = rng.choice(("p", "div", "h2", "li", "section", "blockquote"))
+            body += f"<{tag}>{t}</{tag}>"
+            if rng.random() < 0.15:
+                body += rng.choice(("<nav><p>The menu</p></nav>", "<article>", "</article>", "<div class='adBox'><p>Buy it</p></div>"))
+        pages.append(body)
+    for page in pages:
+        assert html.main_text(page) == two_passes(list(html.blocks(page)))
+    # the rules, not places, decide pages without <article> too
+    outside = [re.sub("</?(?:article|main)[^>]*>", "", p) for p in pages[:250]]
+    assert sum(bool(html.main_text(p)) for p in outside) >= 200
+
+
 def test_unbalanced_raw_elements_end_at_their_tag():
     for tag in ("<svg viewBox='0 0 1 1'/>", "<script src='x'/>", "<button>", "<iframe src=x>", "</svg>", "<svg><p>no</p></svg>"):
         assert html.main_text(f"<p>one {tag}</p><p>two</p>") == "one\ntwo", tag
