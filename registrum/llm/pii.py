@@ -3,8 +3,9 @@
 Base spans follow fixed expressions.  Beyond them, generators of high recall propose spans
 (obfuscated addresses, national phone numbers, cards in other groupings, IPv6); boosted
 trees score them by format and context, the score is calibrated on held-out examples, and
-spans over the threshold are added.  The trees are trained here, on seeded synthetic
-sentences, so they need no personal data.
+spans over their kind's threshold are added.  The trees are trained here, on seeded sentences
+in four languages, so they need no personal data; calibration and thresholds come from
+sentences with other lead-ins than those of the training.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-#: calibrated probability from which a candidate is redacted
-THRESHOLD = 0.9
+#: a kind's threshold is the least calibrated probability from which this part of the held-out candidates is right
+PRECISION = 0.99
 
 Span = tuple[str, int, int]
 
@@ -83,33 +84,42 @@ def base_spans(text: str) -> list[Span]:
 
 # --- candidates -----------------------------------------------------------------------
 
+_AT, _DOT = r"(?:\[at\]|\(at\)|\{at\}|<at>|\bat\b|@)", r"(?:\s?(?:\[dot\]|\(dot\)|\{dot\}|<dot>|\bdot\b)\s?|\.|\s\.\s)"
 _GENERATORS = (
-    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\s?(?:\[at\]|\(at\)|\{at\}|\bat\b|@)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\[dot\]|\(dot\)|\{dot\}|\bdot\b|\.)\s?[A-Za-z0-9-]{1,63}){1,4}", re.I)),
-    ("phone", re.compile(r"(?<![0-9A-Za-z.])(?:\([0-9]{2,5}\)|[0-9]{2,5})(?:[ ./-]{1,2}[0-9]{2,5}){1,5}(?![0-9A-Za-z])")),
+    ("email", re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:\s?(?:\[dot\]|\(dot\)|\{{dot\}}|<dot>)\s?[A-Za-z0-9_%+-]{{1,64}}){{0,3}}\s?{_AT}\s?[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,4}}", re.I)),
+    ("phone", re.compile(r"(?<![0-9A-Za-z.])(?:\([0-9]{2,5}\)|[0-9]{2,5})(?:[ ./-]{1,2}[0-9]{2,8}){1,5}(?![0-9A-Za-z])")),
     ("phone", re.compile(r"(?<![0-9A-Za-z.])[0-9]{8,15}(?![0-9A-Za-z])")),
     ("card", re.compile(r"(?<![0-9A-Za-z.])[0-9]{3,7}(?:[ ._/-]?[0-9]{3,7}){2,5}(?![0-9A-Za-z])")),
+    ("card", re.compile(r"(?<![0-9A-Za-z.])[0-9]{13,19}(?![0-9A-Za-z])")),
     ("ip", re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")),
 )
-_MAY_MAIL = re.compile(r"[\[({]at[\])}]|\bdot\b|[\[({]dot[\])}]|\s@|@\s", re.I)
+#: digits that a number of the kind can have
+_DIGITS = {"card": (13, 19), "phone": (7, 15)}
+_MAY_MAIL = re.compile(r"[\[({<]at[\])}>]|\bdot\b|[\[({<]dot[\])}>]|\s@|@\s", re.I)
 _CUES = (
-    re.compile(r"\b(?:tel|telephone|phone|call|fax|mobile|cell|whatsapp|sms|telefon|teléfono|téléphone|handy|anruf)\b", re.I),
-    re.compile(r"\b(?:card|visa|mastercard|amex|credit|debit|karte|carte|tarjeta|payment)\b", re.I),
-    re.compile(r"\b(?:mail|e-mail|email|contact|write|correo|kontakt|courriel|reach)\b", re.I),
-    re.compile(r"\b(?:ip|ipv6|address|host|server|login|adresse)\b", re.I),
-    re.compile(r"\b(?:isbn|order|invoice|version|ref|serial|part|page|pp|lines?|id|no|nr|total|score|year|born|dated?|key|token|password|sha|hash|batch|doi|items?)\b", re.I),
+    re.compile(r"\b(?:tel|telephone|phone|phoned?|call|called|calls|calling|ring|rang|dial|fax|mobile|cell|cellphone|whatsapp|signal|sms|text(?:ed)? (?:me|us|him|her|them)|hotline|telefon|telefonnummer|rufen|rufnummer|erreichen|erreichbar|handy|anrufen|anruf|teléfono|móvil|llama|llame|llámame|téléphone|appelez|portable|joindre)\b", re.I),
+    re.compile(r"\b(?:cards?|visa|mastercard|amex|american express|diners|credit|debit|karte|kreditkarte|carte|tarjeta|payment|paid with|charged?|cvv|cvc)\b", re.I),
+    re.compile(r"\b(?:mail|mails|e-mail|email|emailed|contact|write|wrote|correo|escr[ií]be(?:me|nos)?|kontakt|schreiben|courriel|écrivez|reach|ask for|inbox)\b", re.I),
+    re.compile(r"\b(?:ip|ipv6|ips|address|host|hosts|server|servers|login|logins|router|gateway|adresse|dirección|client|peer|ping)\b", re.I),
+    re.compile(r"\b(?:isbn|order|orders|invoice|version|ref|reference|serial|part|page|pages|pp|lines?|id|no|nr|total|score|year|years|born|dated?|key|token|password|sha|hash|batch|doi|items?|imei|tracking|parcel|account|case|ticket|chapter|rows?|seeds?|population|people|inhabitants|euros?|dollars|votes|model|article|bestellung|rechnung|pedido|factura|commande|facture|seite|página|built|mac|device|at half|between)\b", re.I),
 )
+#: endings of addresses (fixed values)
+_ENDINGS = frozenset("com org net edu gov info biz io co uk us eu de fr es it nl at ch be pl se dk".split())
 CUE_WIDTH = 28
 
 
 def candidates(text: str) -> list[Span]:
-    """Overlapping proposals."""
-    out = []
+    """Overlapping proposals, each once."""
+    out: dict[Span, None] = {}
     digits = _DIGIT.search(text) is not None
     mail = _MAY_MAIL.search(text) is not None
     for kind, pattern in _GENERATORS:
         if mail if kind == "email" else digits or (kind == "ip" and "::" in text):
-            out += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
-    return out
+            for m in pattern.finditer(text):
+                least, most = _DIGITS.get(kind, (0, len(text)))
+                if least <= len(_NOT_DIGIT.sub("", m[0])) <= most:
+                    out[kind, m.start(), m.end()] = None
+    return list(out)
 
 
 def features(text: str, span: Span) -> list[float]:
@@ -119,15 +129,17 @@ def features(text: str, span: Span) -> list[float]:
     digits = _NOT_DIGIT.sub("", s)
     groups = [len(g) for g in re.findall(r"[0-9]+", s)] or [0]
     before, after = text[max(0, a - CUE_WIDTH) : a], text[b : b + 12]
-    prev, nxt = text[a - 1 : a], text[b : b + 1]
+    prev, nxt = text[max(0, a - 1) : a], text[b : b + 1]
     low = s.lower()
+    last = re.split(r"\W+", low.rstrip("])}>"))[-1]
     return [
         *(float(kind == k) for k in KINDS),
         len(s), len(digits), sum(c.isalpha() for c in s), s.count(" "), s.count("-"), s.count("."), s.count("/"), s.count(":"), float("(" in s),
         len(groups), groups[0], groups[min(1, len(groups) - 1)], groups[-1],
         float(bool(digits) and luhn(digits)), float(digits[:1] in ("3", "4", "5", "6") and digits != ""), float(digits[:2] in ("19", "20") and groups[0] == 4), float(groups[0] == 13 or digits[:3] in ("978", "979")),
-        float("[at]" in low or "(at)" in low or "{at}" in low), float(" at " in low), float(" dot " in low or "[dot]" in low or "(dot)" in low or "{dot}" in low), float(len(re.split(r"\W+", low)[-1])),
-        float(prev.isalnum()), float(prev in "$€£#="), float(prev == "+"), float(nxt.isalnum()), float(nxt in "%$€£"),
+        float(any(x in low for x in ("[at]", "(at)", "{at}", "<at>"))), float(" at " in low), float(" dot " in low), float(any(x in low for x in ("[dot]", "(dot)", "{dot}", "<dot>"))), float(last in _ENDINGS), float(len(last)), float(low.split()[0].strip("[({<") in STOP or re.split(r"(?:[^a-z0-9]at[^a-z0-9]|@)\s*", low)[-1].split(" ")[0] in STOP),
+        float(s[:1] == "0"), float(s[:2] == "00"), float(max(groups)), float(min(groups)), float("::" in s), float(len(groups) >= 5 and set(groups) == {2}), float(sum(len(g) for g in s.split(":")) if ":" in s else 0), float(max(len(g) for g in s.split(":")) if ":" in s else 0), float(sum(not g for g in s.split(":"))),
+        float(prev.isalnum()), float(prev != "" and prev in "$€£#="), float(prev == "+"), float(nxt.isalnum()), float(nxt != "" and nxt in "%$€£"), float(re.match(r"\s?(?:%|€|\$|£|euros?\b|dollars\b|people\b|inhabitants\b|km\b|kg\b|miles\b|votes\b|copies\b|units\b|mm\b)", after) is not None),
         *(float(c.search(before) is not None) for c in _CUES), float(_CUES[4].search(after) is not None),
     ]
 
@@ -135,57 +147,124 @@ def features(text: str, span: Span) -> list[float]:
 # --- training examples ---------------------------------------------------------------------
 
 
-def examples(n: int, seed: int) -> tuple[list[list[float]], list[int]]:
-    """Features and labels of the candidates in n synthetic sentences with one true or false item each."""
+STOP = frozenset("the a an it he she we they you i me us them look looked arrive arrived meet met stay stayed work works home all once last first least night noon work school is was are were this that these his her our your my der die das le la les el los un une y et und".split())
+_FIRST = "anna jo maria peter lena tom sofia paul nina max laura hugo clara otto emma luis ines marc eva felix rosa ben lucia jan julia karl alma noah mia ivan".split()
+_LAST = "smith meyer garcia dubois lopez fischer martin weber brown schulz moreau ruiz taylor koch petit diaz clark wolf simon vega young braun roux soto king vogel blanc mora hill kraus".split()
+_HOSTS = "mail example post acme inbox webmail firm studio northwind contoso bakery gartenbau libreria atelier uni city cloud web home shop".split()
+_PROSE = (
+    "we will be there by noon", "and let me know what you think", "the rest can wait until monday", "thanks again for the help", "or leave a note with the porter", "before the end of the week", "so please do not hesitate", "as agreed with the landlord",
+    "und vielen dank im voraus", "wir freuen uns auf sie", "am besten vormittags", "merci d'avance", "avant la fin du mois", "à bientôt", "gracias por todo", "antes del viernes", "nos vemos pronto", "if the door is closed", "which is on the second floor", "it rained all day",
+)
+#: lead-ins by kind, with and without a cue word; the halves serve training and calibration
+_LEADS = {
+    "email": (
+        "contact", "please contact", "you can write to", "my mail is", "email:", "send it to", "questions go to", "reach me via", "reply to", "the address is", "for details ask", "schreiben Sie an", "Kontakt:", "écrivez à", "courriel :", "mi correo es", "escribe a", "or just", "e-mail", "signed,",
+        "mail me,", "you may reach us under", "drop a line to", "contact address", "forward everything to", "write me at", "see also", "meine Mail:", "mon adresse est", "correo:", "subscribe through", "sent by",
+    ),
+    "phone": (
+        "call me on", "phone:", "tel.", "my phone:", "ring us at", "fax", "mobile", "you can call", "phone number is", "Telefon", "Tel.:", "rufen Sie an:", "téléphone :", "appelez le", "teléfono", "llame al", "call the office,", "her cell is", "text me at", "hotline:",
+        "give me a call:", "telephone", "our fax number is", "whatsapp", "reach me by phone,", "dial", "Handy:", "Rufnummer", "joindre au téléphone :", "móvil:", "cell", "he called from",
+    ),
+    "card": (
+        "card", "my card is", "paid with card", "credit card number", "visa", "amex", "charge it to", "card no.", "Kreditkarte", "carte bancaire", "tarjeta", "use the debit card", "payment by card", "card number:", "card on file:", "the mastercard",
+        "billed to card", "please debit my card", "American Express", "carte n°", "Karte:", "tarjeta de crédito", "credit card:", "their visa card",
+    ),
+    "ip": ("host", "server", "ip", "from address", "login from", "the client at", "ping", "gateway", "IPv6", "connected to", "peer", "die Adresse", "adresse", "dirección", "router", "blocked", "ip address", "logged in from", "the server listens on", "traffic from"),
+}
+
+
+def examples(n: int, seed: int, held: bool = False) -> tuple[list[list[float]], list[int], list[str]]:
+    """Features, labels and kinds of the candidates in n sentences with one true or false item each.
+
+    held: with the lead-ins that training does not use.
+    """
     rng = random.Random(seed)
-    d = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
-    word = lambda: "".join(rng.choice(("the", "on", "er", "in", "st", "ha", "re", "la", "de", "ou", "en", "ge")) for _ in range(rng.randint(1, 3)))
-    hexes = lambda k: "".join(rng.choice("0123456789abcdef") for _ in range(k))
-
-    def card(k: int) -> str:
-        body = rng.choice("3456") + d(k - 2)
+    pick = rng.choice
+    d = lambda k: "".join(pick("0123456789") for _ in range(k))
+    p = lambda k: pick("123456789") + d(k - 1)
+    hexes = lambda k: "".join(pick("0123456789abcdef") for _ in range(k))
+    noise = lambda: "".join(pick(("the", "on", "er", "in", "st", "ha", "re", "la", "de", "ou", "en", "ge")) for _ in range(rng.randint(1, 3)))
+    half = lambda xs: xs[1::2] if held else xs[::2]
+    word = lambda: pick((noise(), *pick(half(_PROSE)).split()[-1:]))
+
+    def luhned(body: str) -> str:
         return next(body + c for c in "0123456789" if luhn(body + c))
 
+    def grouped(digits: str, sizes: tuple[int, ...], sep: str) -> str:
+        out, at = [], 0
+        for k in sizes:
+            out.append(digits[at : at + k])
+            at += k
+        return sep.join([*out, digits[at:]] if digits[at:] else out)
+
+    def card() -> str:
+        kind = rng.randrange(4)
+        if kind == 0:
+            return grouped(luhned(pick(("34", "37")) + d(12)), (4, 6, 5), pick((" ", "-", ".", "")))
+        if kind == 1:
+            return grouped(luhned(pick(("30", "36", "38")) + d(11)), (4, 6, 4), pick((" ", "-", ".", "")))
+        return grouped(luhned(pick("3456") + d(14)), (4, 4, 4, 4), pick((".", "/", "_", "")))
+
     def mail() -> str:
-        at = rng.choice((" [at] ", "[at]", " (at) ", "(at)", " at ", "{at}", " @ "))
-        dot = rng.choice((" [dot] ", "[dot]", " (dot) ", " dot ", "(dot)")) if at == " at " or rng.random() < 0.7 else "."
-        return f"{word()}.{d(2)}{at}{word()}{d(1)}{dot}{word()}{dot}{rng.choice(('com', 'org', 'net', 'de'))}"
+        a, b = pick(_FIRST), pick(_LAST)
+        style = rng.randrange(8)
+        at = pick((" [at] ", "[at]", " (at) ", "(at)", "{at}", " {at} ", " <at> ")) if style < 5 else pick((" at ", " at ", " AT ", " @ "))
+        dot = pick((" [dot] ", "[dot]", " (dot) ", "(dot)", ".", " dot ", "{dot}", " <dot> ")) if style < 5 else " dot " if at.strip().lower() == "at" else pick((" dot ", ".", " . "))
+        local = pick((a, f"{a}.{b}", f"{a[0]}.{b}", f"{a}_{b}", f"{a}{d(2)}", f"{a}-{b}", b, "info", "office", "sales", f"{a}{dot if style < 5 and dot != ' dot ' else '.'}{b}", noise() + d(2)))
+        domain = pick((pick(_HOSTS), f"{pick(_HOSTS)}-{pick(_LAST)}", f"{b}{dot}{pick(_HOSTS)}", noise() + d(1)))
+        return local + at + domain + dot + pick(("com", "org", "net", "de", "fr", "es", f"co{dot}uk", "io", "edu"))
+
+    def phone() -> str:
+        return pick((
+            f"({p(3)}) 555-{d(4)}", f"({p(3)}) {p(3)}-{d(4)}", f"{p(3)}-{p(3)}-{d(4)}", f"{p(3)}.{p(3)}.{d(4)}", f"{p(3)} {p(3)} {d(4)}", f"{p(3)}/{p(3)}-{d(4)}", f"020 {p(4)} {d(4)}", f"07{d(3)} {d(6)}", f"01{d(3)} {d(6)}", f"01{d(3)} {d(3)} {d(3)}", f"(0{d(3)}) {d(6)}",
+            f"030 {p(7)}", f"030/{p(7)}", f"017{d(1)} {p(7)}", f"0{d(3)}-{p(6)}", f"0{d(3)} / {p(6)}", f"(030) {p(4)} {d(4)}", f"01 {d(2)} {d(2)} {d(2)} {d(2)}", f"06.{d(2)}.{d(2)}.{d(2)}.{d(2)}", f"9{d(2)} {d(3)} {d(3)}", f"6{d(2)} {d(2)} {d(2)} {d(2)}", f"91 {d(3)} {d(2)} {d(2)}",
+            f"0044 20 {p(4)} {d(4)}", f"0049 {p(3)} {p(7)}", f"00 33 {d(1)} {d(2)} {d(2)} {d(2)} {d(2)}".replace(" 33 ", " 33 0"), f"1-800-{d(3)}-{d(4)}".replace("1-800", "800"), f"0{d(9)}", f"0{d(10)}", p(10),
+        ))
+
+    def address() -> str:
+        full = [pick((hexes(4), hexes(4), hexes(3), hexes(2), "0")) for _ in range(8)]
+        k, m = rng.randint(1, 4), rng.randint(1, 3)
+        return pick((":".join(full), ":".join(full[:k]) + "::" + ":".join(full[-m:]), f"fe80::{hexes(4)}:{hexes(4)}", f"2001:db8::{hexes(pick((1, 2, 4)))}", f"2a0{d(1)}:{hexes(4)}:{hexes(4)}::{pick('123456789')}"))
 
     def good() -> tuple[str, str, str]:
-        kind = rng.choice(("email", "phone", "phone", "card", "ip"))
-        cue = {"email": "contact mail write", "phone": "call phone tel fax mobile", "card": "card visa payment credit", "ip": "ip host server address"}[kind].split()
-        if kind == "email":
-            s = mail()
-        elif kind == "phone":
-            s = rng.choice((f"({d(3)}) 555-{d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"00{d(2)} {d(3)} {d(7)}", f"0{d(3)} {d(6)}", f"0{d(2)}/{d(7)}"))
-        elif kind == "card":
-            c = card(rng.choice((15, 15, 16)))
-            s = rng.choice((f"{c[:4]}.{c[4:8]}.{c[8:12]}.{c[12:]}", f"{c[:4]} {c[4:10]} {c[10:]}", f"{c[:4]}-{c[4:10]}-{c[10:]}", c))
-        else:
-            s = ":".join(hexes(rng.randint(2, 4)) for _ in range(8)) if rng.random() < 0.7 else f"{hexes(4)}::{hexes(4)}:{hexes(3)}"
-        certain = kind in ("email", "ip") or (kind == "phone" and ("(" in s or "555" in s))
-        return kind, s, rng.choice(cue) if not certain or rng.random() < 0.5 else word()
+        kind = pick(("email", "email", "phone", "phone", "phone", "card", "ip"))
+        s = {"email": mail, "phone": phone, "card": card, "ip": address}[kind]()
+        # forms that speak for themselves stand without a cue too
+        certain = kind == "card" or (kind == "email" and re.search(r"[\[({<]", s)) or (kind == "ip" and s.count(":") > 4) or (kind == "phone" and s[0] == "(")
+        return kind, s, word() if certain and rng.random() < 0.4 else pick(half(_LEADS[kind]))
 
     def bad() -> tuple[str, str]:
-        return rng.choice((
-            ("dated", f"20{d(2)}-0{rng.randint(1, 9)}-{rng.randint(10, 28)}"), ("at", f"{rng.randint(10, 23)}:{rng.randint(10, 59)}:{rng.randint(10, 59)}"), ("isbn", f"978-{d(1)}-{d(4)}-{d(4)}-{d(1)}"),
-            ("order", d(rng.randint(8, 15))), ("version", f"{d(1)}.{d(1)}.{d(2)}"), ("pages", f"{d(3)}-{d(3)}"), ("id", f"{d(4)}-{d(4)}-{d(4)}"), ("serial", d(12)), ("key", f"{d(3)} {d(4)} {d(5)}"),
-            (word(), d(rng.randint(8, 15))), (word(), f"{d(4)} {d(4)} {d(4)} {d(4)}"), (word(), f"{d(2)} {d(3)} {d(3)}"), (word(), f"{d(3)}-{d(2)}-{d(3)}"), ("born", f"{rng.randint(1, 28)}.{rng.randint(1, 12)}.19{d(2)}"), (word(), f"20{d(2)}/{d(2)}/{d(2)}"),
-            ("meet", f"at {word()} dot {word()}"), (word(), f"{word()} at {word()}. {word()}"), ("score", f"{d(2)}-{d(2)} {d(2)}-{d(2)}"), ("items", f"{d(3)} {d(3)} {d(3)}"), ("sha", hexes(40)), ("phone", f"20{d(2)}-20{d(2)}"), ("batch", f"{hexes(2)}:{hexes(2)}:{hexes(2)}"), (word(), f"{d(3)} {d(3)} {d(4)}"),
+        y, m, t = rng.randint(1700, 2090), rng.randint(1, 12), rng.randint(1, 28)
+        spoiled = list(card())
+        at = max(k for k, c in enumerate(spoiled) if c.isdigit())
+        spoiled[at] = str((int(spoiled[at]) + rng.randint(1, 9)) % 10)
+        w, a = word(), pick(_FIRST)
+        return pick((
+            ("dated", f"{y}-{m:02d}-{t:02d}"), ("on", f"{t:02d}.{m:02d}.{y}"), ("since", f"{t:02d}/{m:02d}/{y}"), ("born", f"{t}.{m:02d}.{y}"), ("between", f"{y}-{y + rng.randint(1, 9)}"), ("phone", f"{y}-{y + 9}"), ("the years", f"{y} {y + 1} {y + 2}"), (w, f"{y}/{m:02d}/{t:02d}"), (w, f"{y} {d(4)}"),
+            ("at", f"{rng.randint(10, 23)}:{rng.randint(10, 59)}:{rng.randint(10, 59)}"), (w, f"{rng.randint(10, 23)}:{rng.randint(10, 59)}:{rng.randint(10, 59)}"), ("isbn", f"978-{d(1)}-{d(4)}-{d(4)}-{d(1)}"), ("ISBN", f"978{d(10)}"), ("order", d(rng.randint(8, 15))), ("order no.", f"{d(4)} {d(4)} {d(4)}"), ("invoice", f"{y}-{d(4)}-{d(3)}"),
+            ("version", f"{p(2)}.{p(2)}.{p(2)}"), ("pages", f"{p(3)}-{p(3)}"), ("case id", f"{d(4)}-{d(4)}-{d(4)}"), ("serial", d(12)), ("key", f"{d(3)} {d(4)} {d(5)}"), (w, d(rng.randint(8, 15))), (w, f"{d(4)} {d(4)} {d(4)} {d(4)}"), (w, f"{p(2)} {d(3)} {d(3)}"), (w, f"{p(3)} {d(3)} {d(3)}"), (w, f"{p(3)}-{d(2)}-{d(3)}"),
+            ("a population of", f"{p(2)} {d(3)} {d(3)}"), ("sold", f"{p(3)} {d(3)} copies"), ("cost", f"{p(3)} {d(3)} euros"), ("score", f"{p(2)}-{p(2)} {p(2)}-{p(2)}"), ("items", f"{p(3)} {p(3)} {p(3)}"), ("rows", f"{p(2)} {p(2)} {p(2)} {p(2)}"), ("sha", hexes(40)), ("batch", f"{hexes(2)}:{hexes(2)}:{hexes(2)}"),
+            ("mac", ":".join(hexes(2) for _ in range(6))), ("device", ":".join(hexes(2) for _ in range(6))), (w, ":".join(hexes(2) for _ in range(6))), (w, f"{p(1)}:{p(1)}:{p(2)}"), ("ratio", f"{p(2)}:{p(2)}:{p(2)}"), (w, f"::{pick(('add', 'bad', 'face'))}"), ("IMEI", luhned(d(14))), ("tracking", luhned(d(14))), ("parcel", grouped(luhned(d(14)), (4, 6, 5), " ")), ("ticket", d(10)), ("account", f"{d(4)} {d(6)} {d(2)}"),
+            ("card", "".join(spoiled)), (w, "".join(spoiled)), ("visa", "".join(spoiled)), (w, f"{p(5)}-{d(4)}"), (w, f"{p(2)}.{d(4)} {p(2)}.{d(4)}"), ("lines", f"{p(3)}-{p(3)} {p(3)}-{p(3)}"), ("ref.", f"{p(3)}/{p(3)}/{d(4)}"), ("model", f"{p(3)}-{d(4)}-{d(2)}"),
+            (w, f"look at the dot on the {w}"), ("we", f"met at noon dot {w}"), (w, f"arrived at {w}. the"), (w, f"{a} at {w}.then"), ("they", f"looked at it. {w}"), (w, f"@ {w}. {noise()}"), ("we stayed", f"at {a} dot {w}"), (w, f"{a} at home. {w}"), (w, f"works @ {w}. and"), ("he was", f"good at chess. so"),
         ))
 
-    x, y = [], []
+    rows, y, kinds = [], [], []
     for _ in range(n):
         if rng.random() < 0.5:
             kind, s, cue = good()
         else:
             kind, (cue, s) = "", bad()
-        lead = f"{word()} {word()} {cue}{rng.choice(('', ':', ' is'))} "
-        text = lead + s + rng.choice((" ", ". ", ", ")) + " ".join(word() for _ in range(3))
+            # a chance card number is one, unless its cue says what else it is
+            while len(x := _NOT_DIGIT.sub("", s)) in range(13, 20) and luhn(x) and cue not in ("IMEI", "tracking", "parcel"):
+                cue, s = bad()
+        lead = f"{pick((word() + ' ', '', pick(half(_PROSE)) + '. '))}{cue}{pick(('', '', ':', ' is')) if cue[-1].isalpha() else ''} "
+        text = lead + s + pick((" ", ". ", ", ", "; ", " / ")) + pick((pick(half(_PROSE)), " ".join(word() for _ in range(3))))
         for span in candidates(text):
-            x.append(features(text, span))
-            y.append(int(span[0] == kind and span[1] >= len(lead) - 1 and abs(span[2] - len(lead) - len(s)) <= 1 and span[1] <= len(lead) + 1))
-    return x, y
+            rows.append(features(text, span))
+            y.append(int(span[0] == kind and span[1] == len(lead) and span[2] == len(lead) + len(s)))
+            kinds.append(span[0])
+    return rows, y, kinds
 
 
 class Trees:
@@ -234,12 +313,12 @@ class Trees:
 
 
 class Judge:
-    """Trees and a logistic calibration of their score, fitted on held-out examples."""
+    """Trees, a logistic calibration of their score, and a threshold for each kind, both fitted on held-out examples."""
 
-    def __init__(self, n: int = 2500, seed: int = 11):
-        x, y = examples(n, seed)
+    def __init__(self, n: int = 9000, seed: int = 11):
+        x, y, _ = examples(n, seed)
         self.trees = Trees().fit(np.array(x), np.array(y))
-        x, y = examples(n // 2, seed + 1)
+        x, y, kinds = examples(n, seed + 1, held=True)
         s, t = self.trees.score(np.array(x)), np.array(y)
         a, b = 1.0, 0.0
         for _ in range(50):  # Newton steps
@@ -249,6 +328,19 @@ class Judge:
             step = np.linalg.solve(hess, [((t - p) * s).sum(), (t - p).sum()])
             a, b = a + step[0], b + step[1]
         self.a, self.b = a, b
+        p, kinds = 1 / (1 + np.exp(-(a * s + b))), np.array(kinds)
+        self.thresholds = {k: self._threshold(p[kinds == k], t[kinds == k]) for k in KINDS}
+
+    @staticmethod
+    def _threshold(p: np.ndarray, t: np.ndarray) -> float:
+        """Halfway below the least probability, of 0.5 or more, from which PRECISION of the candidates are right."""
+        order = np.argsort(-p, kind="stable")
+        right = np.cumsum(t[order]) / np.arange(1, len(p) + 1)
+        fine = np.flatnonzero((right >= PRECISION) & (p[order] >= 0.5))
+        if not len(fine):
+            return 1.1
+        below = p[order][fine[-1] + 1] if fine[-1] + 1 < len(p) else 0.0
+        return max(0.5, float(p[order][fine[-1]] + below) / 2)
 
     def probability(self, rows: list[list[float]]) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.a * self.trees.score(np.array(rows)) + self.b)))
@@ -259,8 +351,11 @@ def judge() -> Judge:
     return Judge()
 
 
-def all_spans(text: str, model: Judge, threshold: float = THRESHOLD) -> tuple[list[Span], list[Span]]:
-    """Base spans, and these with the accepted candidates; a candidate that touches a taken span gives way."""
+def all_spans(text: str, model: Judge, threshold: float | None = None) -> tuple[list[Span], list[Span]]:
+    """Base spans, and these with the accepted candidates: the likeliest first, one that touches a taken span gives way.
+
+    threshold: instead of those of the kinds.
+    """
     base = base_spans(text)
     found = [c for c in candidates(text) if not any(c[1] < b and a < c[2] for _, a, b in base)]
     if not found:
@@ -268,7 +363,8 @@ def all_spans(text: str, model: Judge, threshold: float = THRESHOLD) -> tuple[li
     p = model.probability([features(text, c) for c in found])
     taken = list(base)
     for k in np.argsort(-p, kind="stable").tolist():
-        if p[k] >= threshold and not any(found[k][1] < b and a < found[k][2] for _, a, b in taken):
+        least = model.thresholds[found[k][0]] if threshold is None else threshold
+        if p[k] >= least and not any(found[k][1] < b and a < found[k][2] for _, a, b in taken):
             taken.append(found[k])
     return base, sorted(taken, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
@@ -287,7 +383,7 @@ def redact(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
-def found(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def found(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float | None = None) -> DataFrame:
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, and n_added.
 
     Positions are code points, ends exclusive.  A null text is empty: no spans, the hash of an
@@ -307,7 +403,7 @@ def found(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
     return rows.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 
-def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", threshold: float = THRESHOLD) -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", threshold: float | None = None) -> DataFrame:
     """docs with every span of `text` replaced by its kind in brackets, and n_chars, where docs has it, brought up to date.
 
     A null text stays null, and n_chars of such a row as it is.  All other columns pass

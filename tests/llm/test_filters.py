@@ -75,10 +75,88 @@ def test_base_spans_against_plain_expressions():
 
 
 def test_added_spans_on_held_out_examples():
-    x, y = pii.examples(1000, 77)
-    p, y = pii.judge().probability(x), np.array(y)
-    chosen = p >= pii.THRESHOLD
-    assert y[chosen].mean() >= 0.97 and chosen[y == 1].mean() >= 0.9
+    x, y, kinds = pii.examples(2000, 77, held=True)
+    p, y, kinds = pii.judge().probability(x), np.array(y), np.array(kinds)
+    assert set(pii.judge().thresholds) == set(pii.KINDS)
+    for kind, least in pii.judge().thresholds.items():
+        chosen, at = p >= least, kinds == kind
+        assert 0.5 <= least < 1 and y[chosen & at].mean() >= 0.97 and chosen[at & (y == 1)].mean() >= 0.9, kind
+
+
+#: written by hand: no template makes these; the part between bars is to be found
+SENTENCES = """
+contact |jo [at] mail [dot] com|
+my phone: |020 7946 0958|
+Write to |Anna.Smith (at) northwind (dot) org| if you need it.
+Please ring |0171 2345678| after six.
+Tel. |01 23 45 67 89|
+our office, |(030) 1234 5678|, is open
+He used his amex |3782 822463 10005| for it.
+card |4539.1488.0343.6467| was stolen
+login from |2001:0db8:85a3:0000:0000:8a2e:0370:7334| failed
+the host |2001:db8::1| answered
+write me: |tom at acme dot com|
+It went to |jo.fox @ example . org|, I believe
+Fax |0044 20 7946 0958|
+WhatsApp |612 34 56 78|
+Sie erreichen mich unter |0171/2345678| abends
+Seine Karte |3056 930902 5904| wurde gesperrt
+la tarjeta |3782-822463-10005| caducó
+Please call 1-|800-555-0199|
+I looked at the dot on the map.
+On 2024-05-12 we sold 123 456 789 units
+ISBN 978-3-16-148410-0 is out
+the MAC 00:1a:2b:3c:4d:5e is known
+it took 12:30:45 hours
+order 4021 7733 9120 shipped
+We met at noon. Then we left.
+the parcel 123456789012 came
+population 12 345 678
+born 12.05.1984 in Rome
+he scored 21-14 25-23 26-24
+see pages 123-145
+version 10.15.71 of it
+He works @ home.Then he sleeps
+room 101 202 303
+http://x.example/2024/05/12/123456
+the card 3782 822463 10006 has a wrong digit
+his two cards |4539148803436467| |5500005555555559| were both copied
+numbers 7536784127813051 4845168114407320 in a row
+""".strip().split("\n")
+
+
+def test_added_spans_of_sentences_by_hand():
+    wrong = []
+    for line in SENTENCES:
+        text, want = line.replace("|", ""), re.findall(r"\|(.*?)\|", line)
+        base_found, found = pii.all_spans(text, pii.judge())
+        if [text[a:b] for _, a, b in found if (_, a, b) not in base_found] != want:
+            wrong.append(line)
+    assert not wrong
+
+
+def test_overlapping_candidates_against_all_choices():
+    """Of all sets of accepted candidates that touch no other, the one whose sorted probabilities are greatest."""
+    import itertools
+
+    for text in ("card 3782 822463 10005 call 0171 2345678, 020 7946 0958 or jo [at] mail [dot] com", "tel 01 23 45 67 89 card 4539.1488.0343.6467", *(x.replace("|", "") for x in SENTENCES)):
+        model = pii.judge()
+        base_found, found = pii.all_spans(text, model, threshold=0.001)
+        free = [c for c in pii.candidates(text) if all(c[2] <= a or b <= c[1] for _, a, b in base_found)]
+        p = {c: float(model.probability([pii.features(text, c)])[0]) for c in free}
+        ok = [c for c in free if p[c] >= 0.001]
+        sets = [s for n in range(len(ok) + 1) for s in itertools.combinations(ok, n) if all(x[2] <= y[1] or y[2] <= x[1] for x, y in itertools.combinations(s, 2))]
+        best = max(sets, key=lambda s: sorted((p[c] for c in s), reverse=True))
+        assert sorted(set(found) - set(base_found)) == sorted(best)
+
+
+def test_long_and_hostile_texts_for_personal_data():
+    import time
+
+    for unit in ("ab@ ", "1 ", "12 ", "a [at] b", "ab:", "(12)", "1.", "a [dot] "):
+        began = time.process_time()
+        pii.all_spans(unit * (200_000 // len(unit)), pii.judge())
+        assert time.process_time() - began < 10, unit
 
 
 def test_pii_rows_and_redaction(spark):
@@ -87,7 +165,7 @@ def test_pii_rows_and_redaction(spark):
     got = pii.found(df).collect()
     r = got[0]
     want = pii.listed(base(text))
-    assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest() and (r.n_email, r.n_ip, r.n_card, r.n_phone) == (1, 1, 0, 0) or r.n_card <= 1
+    assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest() and [r.n_email, r.n_ip, r.n_card, r.n_phone] == [want.count(k) for k in pii.KINDS] and r.n_email == r.n_ip == 1
     assert all(s in r.spans.split(",") for s in want.split(",")) and r.n_added >= 1
     assert got[1].spans == "" and got[1].base_sha256 == hashlib.sha256(b"").hexdigest()
     clean = pii.redacted(df)
