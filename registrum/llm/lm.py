@@ -34,8 +34,9 @@ from .workspace import Workspace
 HEAVY = 1e-6
 #: one document in so many is looked at for frequent bigrams
 SAMPLE = 16
-#: tasks that score rare tokens, and ranges of the hash, one of which is held at a time
-TASKS, RANGES, RANGE_TOKENS = 64, 256, 500_000
+#: ranges of the hash, one of which is held at a time, and tasks that score rare tokens: the least, and tokens of the corpus for each
+RANGES, RANGE_TOKENS = 256, 500_000
+TASKS, TASK_TOKENS = 64, 20_000_000
 MU = 100.0
 HELD = 4_000_000
 
@@ -92,58 +93,6 @@ def _word_keys(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return K.hash_words(raw, starts, ends, lower=True), np.repeat(np.arange(len(at) - 1), np.diff(words))
 
 
-class Model:
-    """Vocabulary and the bigram tables; ids run from 0 to V - 1, V is any other word, V + 1 a text's start."""
-
-    def __init__(self, words: pa.Table, all_n: int, all_t: int):
-        key = words["k"].to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        self.key, self.size = key[order], len(key)
-        self.p1 = []
-        for c, total in ((words["n"].to_numpy()[order], all_n), (words["t"].to_numpy()[order], all_t)):
-            c = np.append(c, total - c.sum()).astype(float)
-            self.p1.append((c + 1) / (total + self.size + 1))
-        self.bigrams(pa.table({"k": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "t": pa.array([], pa.int64())}))
-
-    def ids(self, h: np.ndarray) -> np.ndarray:
-        if not self.size:
-            return np.zeros(len(h), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.key, h), self.size - 1)
-        return np.where(self.key[at] == h, at, self.size)
-
-    def pairs(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(context, word) as one number, and the row, of every token."""
-        h, row = _word_keys(raw, at)
-        w = self.ids(h)
-        u = np.concatenate([[self.size + 1], w[:-1]]) if len(w) else w
-        u[np.flatnonzero(np.diff(row, prepend=-1))] = self.size + 1
-        return u * (self.size + 2) + w, row
-
-    def bigrams(self, kept: pa.Table) -> None:
-        key = kept["k"].to_numpy()
-        order = np.argsort(key)
-        self.pair = key[order]
-        u, w = self.pair // (self.size + 2), self.pair % (self.size + 2)
-        logs, self.rest, self.context = [], [], []
-        for c, p1 in zip((kept["n"].to_numpy()[order], kept["t"].to_numpy()[order]), self.p1, strict=True):
-            of = np.bincount(u, weights=c, minlength=self.size + 2)
-            self.context.append(np.log(of + MU))
-            self.rest.append(np.log(MU * p1))
-            logs.append(np.log(c + MU * p1[w]) - self.context[-1][u])
-        self.gain = logs[1] - logs[0]
-        self.rest_gain = self.rest[1] - self.rest[0]
-        self.context_gain = self.context[0] - self.context[1]
-
-    def gains(self, pair: np.ndarray) -> np.ndarray:
-        """log p_target - log p_background of every token."""
-        out = self.rest_gain[pair % (self.size + 2)] + self.context_gain[pair // (self.size + 2)]
-        if len(self.pair):
-            at = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
-            hit = self.pair[at] == pair
-            out[hit] = self.gain[at[hit]]
-        return out
-
-
 def marked(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text and target: 1 for documents rated of good quality and not toxic (all their ratings), else 0."""
     good = F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
@@ -153,18 +102,6 @@ def marked(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     return rows.join(rated.hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target"))
 
 
-def fitted(corpus: DataFrame, ws: Workspace, vocabulary_share: float, bigram_share: float) -> Model:
-    """The model cut to words and bigrams with these shares of all tokens.  corpus: doc_id, text, target."""
-    words = ws.save(_counted(corpus, _word_keys), "words")
-    all_n, all_t = (int(x or 0) for x in words.agg(F.sum("n"), F.sum("t")).first())
-    model = Model(words.where(F.col("n") >= max(1.0, vocabulary_share * all_n)).toArrow(), all_n, all_t)
-    ws.drop("words")
-    kept = (F.col("n") >= max(1.0, bigram_share * all_n)) | (F.col("t") >= max(1.0, bigram_share * all_t))
-    shared = corpus.sparkSession.sparkContext.broadcast(model)
-    model.bigrams(_counted(corpus, lambda raw, at: shared.value.pairs(raw, at)).where(kept).toArrow())
-    return model
-
-
 _START = np.uint64(0x5EED5EED5EED5EED)
 
 
@@ -338,7 +275,7 @@ def _rare_gains(f: Frequent, key: np.ndarray, side: np.ndarray, last: np.ndarray
     return out
 
 
-def _summed(rare: DataFrame, shared) -> DataFrame:
+def _summed(rare: DataFrame, shared, tasks: int) -> DataFrame:
     """(row, doc_id, n_tokens, gain): parts of the documents' sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,38 +339,25 @@ def _summed(rare: DataFrame, shared) -> DataFrame:
             merge()
             yield from emit()
 
-    return rare.repartition(TASKS, "range").sortWithinPartitions("range").mapInArrow(run, "row long, doc_id long, n_tokens long, gain double")
+    return rare.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(run, "row long, doc_id long, n_tokens long, gain double")
 
 
-def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", vocabulary_share: float = 0.0, bigram_share: float = 0.0) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_tokens and score (mean loss difference, higher is closer to the target).
 
-    All words and bigrams count.  Only if a share is given are the models cut: rarer words
-    become one, rarer bigrams are dropped, and contexts count kept bigrams.
+    All words and bigrams count.  A document is scored by models that counted it too, as a target
+    document if it is one, so its own words stand out to the models.
 
     A null or wordless text has n_tokens 0 and score 0.  Without a target document the target
     model knows nothing, and all scores are the background's against an even guess.  Null
-    ids and repeated rows are rows like others.  Labels of unknown ids are ignored.  No rows
-    give no rows.
+    ids and repeated rows are rows like others, of a text of any length.  Labels of unknown ids
+    are ignored.  Other columns are not read.  No rows give no rows.
     """
     ws = Workspace(docs.sparkSession, "lm")
     corpus = ws.save(marked(docs, labels, key, text), "marked")
-    if not vocabulary_share and not bigram_share:
-        frequent = _frequent(corpus, ws)
-        common = docs.sparkSession.sparkContext.broadcast(frequent)
-        parts = _summed(_rare(corpus, common, max(RANGES, frequent.total[0] // RANGE_TOKENS)), common)
-        # every row has one part with its tokens
-        sums = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("gain").alias("gain"))
-        return sums.select("doc_id", "n_tokens", F.when(F.col("n_tokens") > 0, F.col("gain") / F.col("n_tokens")).otherwise(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(fitted(corpus, ws, vocabulary_share, bigram_share))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for i, j, raw, at in K.blocks(batch.column(1)):
-                pair, row = shared.value.pairs(raw, at)
-                n[i:j] = np.bincount(row, minlength=j - i)
-                total[i:j] = np.bincount(row, weights=shared.value.gains(pair), minlength=j - i)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total / np.maximum(n, 1))], ["doc_id", "n_tokens", "score"])
-
-    return corpus.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, score double")
+    frequent = _frequent(corpus, ws)
+    common, total = docs.sparkSession.sparkContext.broadcast(frequent), frequent.total[0]
+    parts = _summed(_rare(corpus, common, max(RANGES, total // RANGE_TOKENS)), common, max(TASKS, total // TASK_TOKENS))
+    # every row has one part with its tokens
+    sums = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("gain").alias("gain"))
+    return sums.select("doc_id", "n_tokens", F.when(F.col("n_tokens") > 0, F.col("gain") / F.col("n_tokens")).otherwise(0.0).alias("score"))

@@ -321,71 +321,51 @@ def test_blocks_spread_over_redirects(spark):
     assert urls.judged(df, redirects=more).where("page_id = 5").first().verdict == "block"
 
 
-def test_lm_scores_against_plain_python(spark):
+def lm_scores(docs, target):
+    """Loss differences of add-one unigrams under bigrams, word by word."""
     import math
 
-    rng = random.Random(6)
-    docs = [(k, " ".join(rng.choice("the of and cat dog runs blue".split()) for _ in range(rng.randint(1, 30)))) for k in range(60)] + [(60, None), (61, " "), (None, "The CAT")]
-    rated = [(k, 1, 0) for k in range(20)] + [(20, 1, 1), (21, 0, 0), (3, 1, 0), (99, 1, 0)]
-    d = spark.createDataFrame([(*x, 1.0) for x in docs], "doc_id long, text string, score double")
-    got = {r.doc_id: r for r in lm.scored(d, spark.createDataFrame(rated, "doc_id long, quality int, toxic int"), vocabulary_share=0.02, bigram_share=0.01).collect()}
-    words = {k: WORD.findall((t or "").lower()) for k, t in docs}
-    target = {k for k, q, x in rated if q == 1 and x == 0}
-    uni, bi = [Counter(), Counter()], [Counter(), Counter()]
-    for k, w in words.items():
+    words = [WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for _, t in docs]
+    uni, bi, context = ([Counter(), Counter()] for _ in range(3))
+    for (k, _), w in zip(docs, words, strict=True):
         for which in (0, 1) if k in target else (0,):
             uni[which].update(w)
-    n = [sum(c.values()) for c in uni]
-    vocab = {w for w, c in uni[0].items() if c >= max(1.0, 0.02 * n[0])}
-    ids = {k: [x if x in vocab else "?" for x in w] for k, w in words.items()}
-    for k, w in ids.items():
-        for which in (0, 1) if k in target else (0,):
             bi[which].update(zip(["^", *w], w))
-    kept = {p for p in bi[0] if bi[0][p] >= max(1.0, 0.01 * n[0]) or bi[1][p] >= max(1.0, 0.01 * n[1])}
-    context = [Counter() for _ in bi]
-    for which in (0, 1):
-        for p in kept:
-            context[which][p[0]] += bi[which][p]
+            context[which].update(["^", *w][: len(w)])
+    n, v = [sum(c.values()) for c in uni], len(uni[0])
 
     def logp(which, u, w):
-        c1 = uni[which][w] if w != "?" else n[which] - sum(uni[which][x] for x in vocab)
-        p1 = (c1 + 1) / (n[which] + len(vocab) + 1)
-        c2 = bi[which][u, w] if (u, w) in kept else 0
-        return math.log((c2 + lm.MU * p1) / (context[which][u] + lm.MU))
-
-    for k, w in ids.items():
-        want = sum(logp(1, u, x) - logp(0, u, x) for u, x in zip(["^", *w], w)) / max(1, len(w))
-        assert got[k].score == pytest.approx(want, abs=1e-9) and got[k].n_tokens == len(w)
+        return math.log((bi[which][u, w] + lm.MU * (uni[which][w] + 1) / (n[which] + v + 1)) / (context[which][u] + lm.MU))
+
+    return [(k, len(w), sum(logp(1, u, x) - logp(0, u, x) for u, x in zip(["^", *w], w)) / max(1, len(w))) for (k, _), w in zip(docs, words, strict=True)]
+
+
+def test_lm_scores_of_whole_documents(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()] + [(10**6, "w " * 200_000), (10**6 + 1, None), (None, " "), (3, "the THE"), (3, "the THE")]
+    rated = [(r.doc_id, r.quality, r.toxic) for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()] + [(10**7, 1, 0), (None, 1, 0), (4, None, 0), (5, 0, 0)]
+    bad = {k for k, q, x in rated if not (q == 1 and x == 0)}
+    target = {k for k, q, x in rated if q == 1 and x == 0} - bad - {None}
+    d = spark.createDataFrame([(*x, 1.0, "q") for x in docs], "doc_id long, text string, score double, target string")
+    got = lm.scored(d, spark.createDataFrame(rated, "doc_id long, quality int, toxic int")).collect()
+    order = lambda r: (r[0] is None, r[0], r[1], r[2])
+    for r, want in zip(sorted(map(tuple, got), key=order), sorted(lm_scores(docs, target), key=order), strict=True):
+        assert r[:2] == want[:2] and r[2] == pytest.approx(want[2], abs=1e-9)
     assert lm.scored(d.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
 
 
 def test_lm_models_keep_every_word_and_bigram(spark, monkeypatch):
-    import math
-
     rng = random.Random(7)
-    monkeypatch.setattr(lm, "HEAVY", 0.02, raising=False)
-    monkeypatch.setattr(lm, "SAMPLE", 2, raising=False)
+    monkeypatch.setattr(lm, "HEAVY", 0.02)
+    monkeypatch.setattr(lm, "SAMPLE", 2)
+    monkeypatch.setattr(lm, "TASK_TOKENS", 3000)
     # most words are used once or twice among 300,000 tokens, a share under 1e-5
     docs = [(k, " ".join(rng.choice(("the", "of", "and", f"w{rng.randint(0, 60000)}")) for _ in range(1000))) for k in range(300)]
     docs += [(300, "rare word The rare word"), (301, "rare"), (302, None), (303, " "), (None, "the END"), (304, "rare word of")]
     target = {k for k in range(0, 100)} | {300}
-    words = [WORD.findall((t or "").lower()) for _, t in docs]
-    uni, bi, context = ([Counter(), Counter()] for _ in range(3))
-    for (k, _), w in zip(docs, words, strict=True):
-        for which in (0, 1) if k in target else (0,):
-            uni[which].update(w)
-            bi[which].update(zip(["^", *w], w))
-            context[which].update(["^", *w][: len(w)])
-    n, v = [sum(c.values()) for c in uni], len(uni[0])
-
-    def logp(which, u, w):
-        return math.log((bi[which][u, w] + lm.MU * (uni[which][w] + 1) / (n[which] + v + 1)) / (context[which][u] + lm.MU))
-
     got = {r.doc_id: r for r in lm.scored(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(k, 1, 0) for k in target], "doc_id long, quality int, toxic int")).collect()}
     assert len(got) == len(docs)
-    for (k, _), w in zip(docs, words, strict=True):
-        want = sum(logp(1, u, x) - logp(0, u, x) for u, x in zip(["^", *w], w)) / max(1, len(w))
-        assert got[k].n_tokens == len(w) and got[k].score == pytest.approx(want, abs=1e-9)
+    for k, n, want in lm_scores(docs, target):
+        assert got[k].n_tokens == n and got[k].score == pytest.approx(want, abs=1e-9)
 
 
 def test_classifier_on_held_out_ratings(spark):
