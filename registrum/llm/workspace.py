@@ -85,12 +85,23 @@ def grouped(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Record
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def column_name(df: DataFrame, base: str) -> str:
-    """base, or a variant of it that no column of df has (Spark's names ignore case)."""
-    taken = {c.lower() for c in df.columns}
-    while base.lower() in taken:
-        base = f"_{base}"
-    return base
+#: a key is heavy with this part of all rows, and LEAST_HEAVY rows at least: so many heavy keys there can be
+HEAVY_PARTS, LEAST_HEAVY = 4096, 1000
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, key: str | list[str], n: str, total: int) -> DataFrame:
+    """rows joined to counted on key, with no task that holds a heavy key.
+
+    counted has one row per key and, in column n, the number of rows with this key; total is
+    the number of all rows.  Heavy keys, HEAVY_PARTS at most, are broadcast, so their rows
+    stay where they are; all others meet by a shuffle.
+    """
+    least = max(LEAST_HEAVY, -(-total // HEAVY_PARTS))
+    if total < least:
+        return rows.join(counted, key)
+    heavy = counted.where(F.col(n) >= least)
+    light = rows.join(F.broadcast(heavy.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(counted.where(F.col(n) < least), key)
+    return rows.join(F.broadcast(heavy), key).unionByName(light)
 
 
 def empty(df: DataFrame) -> bool:
