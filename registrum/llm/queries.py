@@ -78,10 +78,18 @@ rules(verdict, rule, h, p) AS (VALUES
 tags AS (SELECT url AS a, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM page),
 named AS (SELECT a, CASE
     WHEN regexp_matches(tag, '(?is)^<link\b[^>]*\brel\s*=\s*["'']?[^"''>]*\bcanonical\b') THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
-    WHEN regexp_matches(tag, '(?is)^<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?\s*refresh\b') THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>;]+)', 1) END AS b FROM tags),
-node AS (SELECT DISTINCT url, lower(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)) || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS n
-  FROM (SELECT a AS url FROM named WHERE b <> '' UNION SELECT b FROM named WHERE b <> '') WHERE url LIKE '%://%'),
-edge AS (SELECT DISTINCT x.n AS a, y.n AS b FROM named JOIN node x ON x.url = a JOIN node y ON y.url = b WHERE b <> ''),
+    WHEN regexp_matches(tag, '(?is)^<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?\s*refresh\b') THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*((?:&amp;|[^"''\s>;])+)', 1) END AS b FROM tags),
+links AS (SELECT a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+    WHEN starts_with(t, '//') THEN regexp_extract(a, '(?s)^(.*?)://', 1) || ':' || t
+    WHEN starts_with(t, '/') THEN regexp_extract(a, '(?s)^(.*?://[^/?#]*)', 1) || t
+    WHEN starts_with(t, '?') THEN regexp_extract(a, '(?s)^(.*?://[^?#]*)', 1) || t
+    WHEN regexp_matches(t, '^(?:#|[A-Za-z][A-Za-z0-9+.-]*:)') THEN NULL
+    WHEN regexp_matches(a, '(?s)^.*?://[^/?#]*/') THEN regexp_extract(a, '(?s)^(.*?://[^/?#]*(?:/(?:[^?#]*/)?)?)', 1) || t
+    ELSE regexp_extract(a, '(?s)^(.*?://[^/?#]*)', 1) || '/' || t END AS b
+  FROM (SELECT a, replace(b, '&amp;', '&') AS t FROM named WHERE b <> '' AND a LIKE '%://%')),
+node AS (SELECT DISTINCT url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS n
+  FROM (SELECT a AS url FROM links UNION SELECT b FROM links) WHERE url LIKE '%://%'),
+edge AS (SELECT DISTINCT x.n AS a, y.n AS b FROM links JOIN node x ON x.url = a JOIN node y ON y.url = b),
 both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
 reach AS (SELECT a AS n, a AS m FROM both_ways UNION SELECT r.n, e.b FROM reach r JOIN both_ways e ON r.m = e.a),
 fit AS (SELECT m, arg_max(verdict, length(rule)) AS v FROM (SELECT DISTINCT m FROM reach) JOIN rules

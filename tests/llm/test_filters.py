@@ -302,15 +302,21 @@ def test_pages_of_the_tables_give_their_articles(spark):
         assert html.main_text(r.html) == "\n".join(x for x in want if x)
 
 
-def test_blocks_spread_over_redirects(spark):
-    link = lambda u: f'<link href="{u}" rel=canonical>'
-    meta = lambda u: f"<META http-equiv='Refresh' content='0; URL={u}'>"
+LINK = lambda u: f'<link href="{u}" rel=canonical>'
+META = lambda u: f"<META http-equiv='Refresh' content='0; URL={u}'>"
+
+
+@pytest.mark.parametrize("folded", [200, 0])
+def test_blocks_spread_over_redirects(spark, monkeypatch, folded):
+    monkeypatch.setattr(urls, "FOLDED", folded)
     rows = [
-        (1, "http://a.com/en/x", ""), (2, "http://b.example/1", link("https://a.com/en/x#f")), (3, "http://c.example/2", meta("http://b.example/1")), (4, "http://example.com/en/7", link("http://b.example/1")),
-        (5, "http://d.example/", ""), (6, None, link("http://a.com/en/x")), (7, "no scheme", ""), (8, "HTTP://SUB.Com/en/?q", None), (9, "http://com.evil/en/", ""), (10, "http://e.example/q", link("http://x.org/es/1")), (2, "http://b.example/1", ""),
+        (1, "http://a.com/en/x", ""), (2, "http://b.example/1", LINK("https://a.com/en/x#f")), (3, "http://c.example/2", META("http://b.example/1")), (4, "http://example.com/en/7", LINK("http://b.example/1")),
+        (5, "http://d.example/", ""), (6, None, LINK("http://a.com/en/x")), (7, "no scheme", ""), (8, "HTTP://SUB.Com/en/?q", None), (9, "http://com.evil/en/", ""), (10, "http://e.example/q", LINK("http://x.org/es/1")), (2, "http://b.example/1", ""),
     ]
-    df = spark.createDataFrame([(*r, "old") for r in rows], "page_id long, url string, html string, rule string")
-    got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.judged(df).collect())
+    df = spark.createDataFrame([(*r, "old", 1, 2, 3, 4, "i") for r in rows], "page_id long, url string, html string, rule string, __h int, __p int, __alias int, node int, id string")
+    got = urls.judged(df)
+    assert got.columns == ["page_id", "url", "html", "__h", "__p", "__alias", "node", "id", "host", "path", "rule", "verdict"] and got.where("__h = 1 and __p = 2 and __alias = 3 and node = 4 and id = 'i'").count() == len(rows)
+    got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got.collect())
     want = [
         (1, "a.com", "/en/x", "com/en/", "block"), (2, "b.example", "/1", None, "block"), (2, "b.example", "/1", None, "block"), (3, "c.example", "/2", None, "block"), (4, "example.com", "/en/7", "example.com/en/7", "allow"), (5, "d.example", "/", None, "allow"),
         (6, "", "", None, "allow"), (7, "", "", None, "allow"), (8, "sub.com", "/en/", "com/en/", "block"), (9, "com.evil", "/en/", None, "allow"), (10, "e.example", "/q", None, "block"),
@@ -321,6 +327,47 @@ def test_blocks_spread_over_redirects(spark):
     assert urls.judged(df, redirects=more).where("page_id = 5").first().verdict == "block"
 
 
+def test_relative_links_and_their_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [
+        (1, "http://a.com/en/x", ""), (2, "http://b.example/d/e?q=1", LINK("//a.com/en/x")), (3, "http://a.com/de/3?z", META("/en/x")), (4, "http://b.example/d/f", LINK("e?q=1")), (5, "http://b.example/d/f?x=1&y=2", LINK("http://b.example/d/f")), (6, "http://g.example", LINK("h")),
+        (7, "http://g.example/h", META("http://b.example/d/f?x=1&amp;y=2")), (8, "http://i.example/", LINK("mailto:x@y.z")), (9, "http://j.example/k?v", LINK("#top")), (10, "http://j.example/k", LINK("?w")), (11, "http://j.example/k?w", LINK("HTTP://A.com/en/x")), (12, None, LINK("/x")),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df.coalesce(1).write.parquet(str(tmp_path / "pages"))
+    got = urls.judged(df).select("page_id", "host", "path", "rule", "verdict").toPandas()
+    assert {r.page_id for r in got.itertuples() if r.verdict == "block"} == {1, 2, 3, 4, 5, 6, 7, 10, 11}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages/*.parquet'")
+    import compare
+
+    assert compare.rows(got) == compare.rows(con.execute(queries.oracle_sql()["op10_url_filters"]).df())
+
+
+def test_many_rules_join_like_folded_ones(spark):
+    rng = random.Random(3)
+    hosts = ["a.com", "b.a.com", "com", "x.y.org", "y.org", "org", "q.net"]
+    rules = [(rng.choice(("allow", "block")), rng.choice(hosts) + rng.choice(("", "/", "/p", "/p/q", "/p/qr", "/z/"))) for _ in range(60)] + [("block", f"h{k}.example/{k}") for k in range(3000)]
+    pages = [(k, f"http://{rng.choice(('www.', '', 'c.'))}{rng.choice(hosts)}{rng.choice(('', '/', '/p', '/p/q/r', '/p/qrs?u', '/z/1#f'))}") for k in range(300)] + [(k, f"https://h{k}.example/{k}/x") for k in range(1000, 1100)] + [(5000, None), (5001, "://")]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    best = {}
+    for verdict, text in rules:
+        best[text] = verdict
+
+    def longest(url):
+        if not url or "://" not in url:
+            return None
+        host, path = re.match(r".*?://([^/?#]*)([^?#]*)", url).groups()
+        fits = [t for t in best if (host == t.partition("/")[0] or host.endswith("." + t.partition("/")[0])) and path.startswith("".join(t.partition("/")[1:]))]
+        return max(fits, key=len, default=None)
+
+    for given in (rules, urls.rule_table(spark, rules)):
+        for r in urls.judged(df, html=None, rules=given).collect():
+            rule = longest(r.url)
+            assert (r.rule and len(r.rule)) == (rule and len(rule)) and r.verdict == (best[r.rule] if rule else "allow"), r
+
+
 def lm_scores(docs, target):
     """Loss differences of add-one unigrams under bigrams, word by word."""
     import math
