@@ -13,7 +13,7 @@ buckets before it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -32,8 +32,6 @@ DOMAIN_WEIGHTS = {"hub": 2, "tail": 3}
 LANGUAGE_WEIGHTS = {"en": 5, "de": 2, "fr": 2, "es": 1}
 SOURCE_WEIGHTS: dict[str, int] = {}
 EPOCHS = 3
-#: budget as a part of all tokens
-NUMERATOR, DENOMINATOR = 1, 2
 SEED = "mix-1"
 
 
@@ -91,6 +89,33 @@ def budgets(leaves: DataFrame, budget: Column, domains: Mapping[str, int], langu
     return _share(low, ["domain", "lang"]).select("domain", "lang", "source", "available", F.col("got").alias("want"))
 
 
+LEAF = ["domain", "lang", "source"]
+
+
+def _rows(docs: DataFrame, key: str, text: str, lang: str, source: str, domain: Column | None, *more: Column) -> DataFrame:
+    """__id, the leaf, tokens and __tie of every document, and more."""
+    named = F.coalesce(F.col(source).cast("string"), F.lit(""))
+    return docs.select(
+        F.col(key).alias("__id"),
+        (domain if domain is not None else domain_of(named)).alias("domain"),
+        F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
+        named.alias("source"),
+        tokens_of(F.col(text)).alias("tokens"),
+        F.xxhash64(text).alias("__tie"),
+        *more,
+    )
+
+
+def _order(seed: str) -> Column:
+    """The seeded hash of a document in an epoch."""
+    return F.md5(F.concat_ws(":", F.lit(seed), "epoch", F.coalesce(F.col("__id").cast("string"), F.lit(""))))
+
+
+def _plan(light: DataFrame, ws: Workspace, budget: Column | None, domains: Mapping[str, int], languages: Mapping[str, int], sources: Mapping[str, int], epochs: int) -> DataFrame:
+    budget = F.col("all_tokens") if budget is None else budget
+    return ws.save(budgets(light.groupBy(*LEAF).agg(F.sum("tokens").alias("available")), budget, domains, languages, sources, epochs), "plan")
+
+
 def selection(
     docs: DataFrame,
     key: str = "doc_id",
@@ -104,14 +129,12 @@ def selection(
     epochs: int = EPOCHS,
     budget: Column | None = None,
     seed: str = SEED,
-    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The drawn documents: doc_id, domain, lang, source, epoch, start, tokens, take (and carry).
+    """The drawn documents: doc_id, domain, lang, source, epoch, start, tokens, take.
 
     start: position of the document in its leaf's stream of the epoch; take: its tokens inside
     the leaf's budget, fewer than `tokens` only for the last document of a leaf's prefix.  A
-    document can come back once in each epoch.  budget: over `all_tokens`.  carry: more columns
-    of docs to keep.
+    document can come back once in each epoch.  budget: over `all_tokens`.
 
     A null text has one token, its end.  A null language or source is a leaf of its own, named
     ''.  Rows that repeat are rows: each is drawn by itself; rows with equal id (or a null id,
@@ -119,47 +142,65 @@ def selection(
     are interchangeable.  No rows give no rows.
     """
     ws = Workspace(docs.sparkSession, "mixing")
-    named = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    rows = docs.select(
-        F.col(key).alias("__id"),
-        (domain if domain is not None else domain_of(named)).alias("domain"),
-        F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
-        named.alias("source"),
-        tokens_of(F.col(text)).alias("tokens"),
-        F.xxhash64(text).alias("__tie"),
-        *(F.col(c).alias(f"__c{k}") for k, c in enumerate(carry)),
-    )
-    light = rows if carry else ws.save(rows, "rows")
-    leaf = ["domain", "lang", "source"]
-    if budget is None:
-        budget = F.expr(f"all_tokens * {NUMERATOR} div {DENOMINATOR}")
-    plan = ws.save(budgets(light.groupBy(*leaf).agg(F.sum("tokens").alias("available")), budget, domains, languages, sources, epochs), "plan")
-    drawn = light.join(plan.where("want > 0"), leaf).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.expr("int((want - 1) div available)"))))
-    drawn = drawn.withColumn("__h", F.md5(F.concat_ws(":", F.lit(seed), "epoch", F.coalesce(F.col("__id").cast("string"), F.lit("")))))
+    light = ws.save(_rows(docs, key, text, lang, source, domain), "rows")
+    plan = _plan(light, ws, budget, domains, languages, sources, epochs)
+    drawn = light.join(plan.where("want > 0"), LEAF).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.expr("int((want - 1) div available)"))))
+    drawn = drawn.withColumn("__h", _order(seed))
     drawn = drawn.withColumn("__bucket", F.substring("__h", 1, HEX))
-    totals = drawn.groupBy(*leaf, "epoch", "__bucket").agg(F.sum("tokens").alias("__sum"))
-    before = W.partitionBy(*leaf, "epoch").orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
+    totals = drawn.groupBy(*LEAF, "epoch", "__bucket").agg(F.sum("tokens").alias("__sum"))
+    before = W.partitionBy(*LEAF, "epoch").orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     totals = totals.withColumn("__before", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
-    inside = W.partitionBy(*leaf, "epoch", "__bucket").orderBy("__h", "__id", "__tie").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*LEAF, "epoch", "__bucket").orderBy("__h", "__id", "__tie").rowsBetween(W.unboundedPreceding, -1)
     drawn = drawn.withColumn("__in", F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
-    drawn = drawn.join(totals, [*leaf, "epoch", "__bucket"]).withColumn("start", (F.col("__before") + F.col("__in")).cast("long"))
+    drawn = drawn.join(totals, [*LEAF, "epoch", "__bucket"]).withColumn("start", (F.col("__before") + F.col("__in")).cast("long"))
     drawn = drawn.withColumn("take", F.least("tokens", F.expr("want - epoch * available - start")).cast("long")).where("take > 0")
-    return drawn.select(F.col("__id").alias("doc_id"), *leaf, F.col("epoch").cast("long").alias("epoch"), "start", "tokens", "take", *(F.col(f"__c{k}") for k in range(len(carry))))
+    return drawn.select(F.col("__id").alias("doc_id"), *LEAF, F.col("epoch").cast("long").alias("epoch"), "start", "tokens", "take")
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars", **options) -> DataFrame:
+def mixed(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    n_chars: str | None = "n_chars",
+    lang: str = "lang",
+    source: str = "source",
+    domain: Column | None = None,
+    domains: Mapping[str, int] = DOMAIN_WEIGHTS,
+    languages: Mapping[str, int] = LANGUAGE_WEIGHTS,
+    sources: Mapping[str, int] = SOURCE_WEIGHTS,
+    epochs: int = EPOCHS,
+    budget: Column | None = None,
+    seed: str = SEED,
+) -> DataFrame:
     """docs as selection() draws them, with the columns of docs: a document once for each epoch that takes it.
 
     The document at the end of a leaf's budget is cut to its first words, joined by spaces, and
     its n_chars, where docs has it, brought up to date.
+
+    Texts stay where they are: a leaf's prefix ends in one range of the hash of its last epoch;
+    ranges before it are drawn whole, and only the documents of that one range are put in order.
     """
+    ws = Workspace(docs.sparkSession, "mixing")
+    light = ws.save(_rows(docs, key, text, lang, source, domain), "rows")
+    plan = _plan(light, ws, budget, domains, languages, sources, epochs).where("want > 0").withColumn("last", F.expr("int((want - 1) div available)"))
+    sums = light.join(plan, LEAF).withColumn("epoch", F.col("last")).groupBy(*LEAF, "want", "available", "last", F.substring(_order(seed), 1, HEX).alias("cut")).agg(F.sum("tokens").alias("n"))
+    before = W.partitionBy(*LEAF).orderBy("cut").rowsBetween(W.unboundedPreceding, -1)
+    # tokens of the last epoch that are left for a range; at most BUCKETS rows a leaf
+    sums = sums.withColumn("left", F.expr("want - last * available") - F.coalesce(F.sum("n").over(before), F.lit(0)))
+    cuts = ws.save(sums.where("left > 0 and left <= n").select(*LEAF, "last", "cut", "left"), "cuts")
     names = list(docs.columns)
-    out = selection(docs, key, text, carry=names, **options)
-    at = F.col(f"__c{names.index(text)}")
-    short = F.col("take") < F.col("tokens")
-    words = F.regexp_extract_all(at, F.lit(WORD), 0)
-    cut = F.when(short, F.array_join(F.slice(words, F.lit(1), F.col("take").cast("int")), " ")).otherwise(at)
-    out = out.withColumn(f"__c{names.index(text)}", cut)
+    kept = [f"__c{k}" for k in range(len(names))]
+    rows = _rows(docs, key, text, lang, source, domain, *(F.col(c).alias(k) for c, k in zip(names, kept, strict=True)))
+    rows = rows.join(cuts, LEAF).withColumn("epoch", F.explode(F.sequence(F.lit(0), "last"))).withColumn("__h", _order(seed))
+    bucket, ends = F.substring("__h", 1, HEX), F.col("epoch") == F.col("last")
+    whole = rows.where(~ends | (bucket < F.col("cut"))).select(*kept)
+    inside = W.partitionBy(*LEAF).orderBy("__h", "__id", "__tie").rowsBetween(W.unboundedPreceding, -1)
+    edge = rows.where(ends & (bucket == F.col("cut"))).withColumn("take", F.col("left") - F.coalesce(F.sum("tokens").over(inside), F.lit(0))).where("take > 0")
+    at, short = F.col(kept[names.index(text)]), F.col("take") < F.col("tokens")
+    # regexp_extract_all would hold a very long text's words at once; only a leaf's last document is cut
+    words = F.when(short, F.array_join(F.slice(F.regexp_extract_all(at, F.lit(WORD), 0), F.lit(1), F.col("take").cast("int")), " ")).otherwise(at)
+    edge = edge.withColumn(kept[names.index(text)], words)
     if n_chars in names:
-        out = out.withColumn(f"__c{names.index(n_chars)}", F.when(short, F.length(at)).otherwise(F.col(f"__c{names.index(n_chars)}")).cast(docs.schema[n_chars].dataType))
-    return out.select(*(F.col(f"__c{k}") for k in range(len(names)))).toDF(*names)
+        count = kept[names.index(n_chars)]
+        edge = edge.withColumn(count, F.when(short, F.length(at)).otherwise(F.col(count)).cast(docs.schema[n_chars].dataType))
+    return whole.union(edge.select(*kept)).toDF(*names)

@@ -108,7 +108,7 @@ WITH doc AS (
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS BIGINT) AS tokens FROM documents),
 leaf AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS available FROM doc GROUP BY ALL),
 dom0 AS (SELECT 0 AS one, domain, domain AS name, CAST(sum(available * 3) AS BIGINT) AS c, CASE domain WHEN 'hub' THEN 2 WHEN 'tail' THEN 3 ELSE 1 END AS w,
-    (SELECT CAST(sum(available) AS BIGINT) // 2 FROM leaf) AS b FROM leaf GROUP BY domain),
+    (SELECT CAST(sum(available) AS BIGINT) FROM leaf) AS b FROM leaf GROUP BY domain),
 dom1 AS (SELECT *, coalesce(sum(c) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c0, sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w0
   FROM dom0 WINDOW o AS (PARTITION BY one ORDER BY c::DOUBLE / w, name)),
 dom2 AS (SELECT *, min((b - c0) * w >= c * w0) OVER (PARTITION BY one ORDER BY c::DOUBLE / w, name ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fits FROM dom1),

@@ -88,6 +88,13 @@ def test_mixing_takes_prefixes_of_seeded_epochs(spark):
         assert sum(r.take < r.tokens for r in rs) <= 1
     total = sum(len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) + 1 for _, t, _, _ in rows)
     assert total * 2 - len(leaves) <= sum(r.take for r in got) <= total * 2
+    for budget in (None, F.expr("all_tokens * 2"), F.expr("all_tokens div 3"), F.lit(7), F.lit(0)):
+        drawn = [(r.doc_id, r.take) for r in mixing.selection(df, budget=budget).collect()]
+        parts = [(r.doc_id, len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))) for r in mixing.mixed(df, budget=budget).collect()]
+        # a document has a token more than words, its end; the last of a leaf may be cut before it
+        last = {(r.doc_id, r.take) for r in mixing.selection(df, budget=budget).where("take < tokens").collect()}
+        order = lambda r: (r[0] is None, r[0], r[1])
+        assert sorted(parts, key=order) == sorted([(k, n if (k, n) in last else n - 1) for k, n in drawn], key=order), budget
     out = mixing.mixed(df)
     assert out.columns == df.columns and out.dtypes == df.dtypes and out.count() == mixing.selection(df).count()
     assert mixing.mixed(df.limit(0)).count() == 0
