@@ -40,8 +40,9 @@ def featurize(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h = K.hash_words(raw, starts, ends, lower=True)
         tail = raw[ends - 1].astype(np.uint64) | raw[np.maximum(ends - 2, starts)].astype(np.uint64) << K.U64(8) if len(ends) else h
         again = np.zeros(len(h), dtype=np.uint64)
-        again[1:] = h[1:] == h[:-1]
         rows = np.repeat(np.arange(len(at) - 1, dtype=np.uint64), np.diff(words))
+        # the first word of a text repeats none
+        again[1:] = (h[1:] == h[:-1]) & (rows[1:] == rows[:-1])
         slots = [h >> _HIGH, K.mix64(tail + K.U64(1 << 20)) >> _HIGH, K.mix64(again + K.U64(1 << 40)) >> _HIGH]
         key = np.concatenate([(rows << K.U64(BITS)) | s for s in slots])
         key, count = np.unique(key, return_counts=True)

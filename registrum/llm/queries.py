@@ -34,7 +34,9 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    out = lm.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    # sums of logarithms differ in their last digits with the order of the terms
+    return out.withColumn("score", F.floor(F.col("score") * 1e7 + 0.5) / 1e7)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,5 +132,70 @@ FROM placed WHERE least(tokens, want - epoch * available - start) > 0
 """
 
 
+_OP2 = """
+WITH v AS (SELECT vec_id, CASE WHEN len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    THEN CAST(embedding AS DOUBLE[]) END AS e FROM embeddings),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (WITH RECURSIVE r AS (SELECT a, b FROM link UNION SELECT r.a, link.b FROM r JOIN link ON r.b = link.a) SELECT a, min(b) AS least FROM r GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM v LEFT JOIN reach ON a = vec_id
+"""
+
+_OP3 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+every AS (SELECT doc_id, unnest(CASE WHEN len(ws) > 1 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS s FROM w),
+sh AS (SELECT DISTINCT doc_id, s FROM every),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+ids AS (SELECT doc_id, list(s ORDER BY s) AS l FROM sh GROUP BY doc_id),
+class AS (SELECT l, min(doc_id) AS rep FROM ids GROUP BY l),
+small AS (SELECT sh.doc_id, sh.s FROM sh JOIN class ON rep = doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM small a JOIN small b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+one AS (SELECT a, b FROM both_ JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * both_.n >= 80 * (x.n + y.n - both_.n)),
+link AS (SELECT a, b FROM one UNION SELECT b, a FROM one),
+reach AS (WITH RECURSIVE r AS (SELECT a, b FROM link UNION SELECT r.a, link.b FROM r JOIN link ON r.b = link.a) SELECT a, min(b) AS least FROM r GROUP BY a),
+of AS (SELECT ids.doc_id, least(rep, coalesce(least, rep)) AS c FROM ids JOIN class USING (l) LEFT JOIN reach ON a = rep)
+SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, documents.doc_id) AS component_id, documents.doc_id = coalesce(c, documents.doc_id) AS kept
+FROM documents LEFT JOIN size USING (doc_id) LEFT JOIN of USING (doc_id)
+"""
+
+_OP4 = r"""
+WITH good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING bool_and(coalesce(quality = 1 AND toxic = 0, false))),
+doc AS (SELECT row_number() OVER () AS r, doc_id, (doc_id IN (SELECT doc_id FROM good))::INT AS t,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+tok AS (SELECT r, t, unnest(ws) AS w, unnest(list_concat(['^ '], ws[:-2])) AS u FROM doc WHERE len(ws) > 0),
+uni AS (SELECT w, count(*)::DOUBLE AS n0, sum(t)::DOUBLE AS n1 FROM tok GROUP BY w),
+con AS (SELECT u, count(*)::DOUBLE AS n0, sum(t)::DOUBLE AS n1 FROM tok GROUP BY u),
+bi AS (SELECT u, w, count(*)::DOUBLE AS n0, sum(t)::DOUBLE AS n1 FROM tok GROUP BY ALL),
+total AS (SELECT sum(n0) AS n0, sum(n1) AS n1, count(*) AS v FROM uni),
+gain AS (SELECT bi.u, bi.w, ln((bi.n1 + 100 * (uni.n1 + 1) / (total.n1 + v + 1)) / (con.n1 + 100)) - ln((bi.n0 + 100 * (uni.n0 + 1) / (total.n0 + v + 1)) / (con.n0 + 100)) AS g
+  FROM bi JOIN uni USING (w) JOIN con USING (u), total),
+score AS (SELECT r, count(*) AS n, sum(g) / count(*) AS s FROM tok JOIN gain USING (u, w) GROUP BY r)
+SELECT doc_id, coalesce(n, 0) AS n_tokens, coalesce(floor(s * 1e7 + 0.5) / 1e7, 0.0) AS score FROM doc LEFT JOIN score USING (r)
+"""
+
+_OP7 = r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, ws, unnest(ws) AS word FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM doc)),
+words AS (SELECT r, count(*) AS n_words, sum(length(word))::BIGINT AS word_chars FROM w GROUP BY r),
+win AS (SELECT r, unnest(range(1, len(ws) - 1)) AS i, unnest(list_transform(range(1, len(ws) - 1), lambda k: ws[k] || ' ' || ws[k + 1] || ' ' || ws[k + 2])) AS g
+  FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM doc) WHERE len(ws) > 2),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+line AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM doc) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+base AS (SELECT r, doc_id, source, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+  FROM doc LEFT JOIN words USING (r) LEFT JOIN rep USING (r) LEFT JOIN line USING (r)),
+flag AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
+rule AS (SELECT *, base_failed OR 100 * n_symbols > 20 * n_words OR 100 * n_dup_lines > 50 * n_lines AS failed FROM flag),
+host AS (SELECT source, count(*)::DOUBLE AS n, sum(failed::INT)::DOUBLE AS k FROM rule GROUP BY source),
+mean AS (SELECT sum(k) / sum(n) AS m, count(*) / sum(n) AS share FROM host),
+var AS (SELECT any_value(m) AS m, any_value(m * (1 - m)) AS u, sum(n * pow(k / n - m, 2)) / sum(n) AS v, any_value(share) AS share FROM host, mean),
+prior AS (SELECT m, CASE WHEN v - u * share > 0 THEN greatest(1.0, least(1e6, (u - v) / (v - u * share))) ELSE 1e6 END AS s FROM var),
+rate AS (SELECT source, (k + m * s) / (n + s) AS rate FROM host, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT failed AND rate <= 0.5 AS kept
+FROM rule JOIN rate ON rule.source IS NOT DISTINCT FROM rate.source
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": _OP5, "op10_url_filters": _OP10}
+    return {"op2_embedding_near_dedup": _OP2, "op3_minhash_near_dedup": _OP3, "op4_lm_scoring": _OP4, "op5_mixing": _OP5, "op7_quality_rules": _OP7, "op10_url_filters": _OP10}

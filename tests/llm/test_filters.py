@@ -459,3 +459,54 @@ def _probabilities(offsets, index, value, w, grades):
 def test_registered_queries_carry_the_ids(spark):
     names = queries.queries()
     assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+
+
+def test_classifier_against_plain_python(spark):
+    """Features, fit and scores word by word; hashes only name the features."""
+    import math
+
+    rng = random.Random(21)
+    texts = [(k, " ".join(rng.choice("a bb ccc dd dd e sit".split()) for _ in range(rng.randint(1, 12)))) for k in range(60)] + [(60, None), (61, " "), (62, "w " * 20_000)]
+    rated = {k: rng.choice((0, 1, 2)) for k in range(60)}
+    labels = spark.createDataFrame([(k, int(g != 1), int(g == 0)) for k, g in rated.items()], "doc_id long, quality int, toxic int")
+    df = spark.createDataFrame([(*t, 1.0, "x") for t in texts], "doc_id long, text string, p_best double, grade string")
+
+    def features(t):
+        w = (t or "").lower().split()
+        count = Counter(f"word {x}" for x in w) + Counter(f"end {x[-2:]}" for x in w) + Counter(f"again {bool(k) and w[k - 1] == x}" for k, x in enumerate(w))
+        return {f: math.sqrt(n / len(w)) for f, n in count.items()}
+
+    rows = [(features(dict(texts)[k]), g) for k, g in sorted(rated.items())]
+    seen = Counter(f for x, _ in rows for f in x)
+    rows = [({f: v for f, v in x.items() if seen[f] >= classifier.LEAST}, g) for x, g in rows]
+    w, c = dict.fromkeys((f for x, _ in rows for f in x), 0.0), [-1.0, 0.0]
+    state = {f: [0.0, 0.0] for f in [*w, 0, 1]}
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+    for step in range(1, 151):
+        t = [c[0], c[0] + math.exp(c[1])]
+        gw, gt = {f: 1e-5 * v for f, v in w.items()}, [0.0, 0.0]
+        for x, g in rows:
+            f = sum(w[k] * v for k, v in x.items())
+            edge = [0.0, sigmoid(t[0] - f), sigmoid(t[1] - f), 1.0]
+            p = edge[g + 1] - edge[g]
+            slope = [e * (1 - e) for e in edge]
+            for k, v in x.items():
+                gw[k] += v * (slope[g + 1] - slope[g]) / p / len(rows)
+            for k in (0, 1):
+                gt[k] += ((slope[g] if g == k + 1 else 0) - (slope[g + 1] if g == k else 0)) / p / len(rows)
+        grads = {**gw, 0: gt[0] + gt[1], 1: gt[1] * math.exp(c[1])}
+        for k, g in grads.items():
+            m = state[k]
+            m[0] += 0.1 * (g - m[0])
+            m[1] += 0.001 * (g * g - m[1])
+            move = 0.3 * (m[0] / (1 - 0.9**step)) / (math.sqrt(m[1] / (1 - 0.999**step)) + 1e-8)
+            if k in w:
+                w[k] -= move
+            else:
+                c[k] -= move
+    t = [c[0], c[0] + math.exp(c[1])]
+    got = {r.doc_id: r for r in classifier.classified(df, labels).collect()}
+    for k, text in texts:
+        f = sum(w.get(x, 0.0) * v for x, v in features(text).items())
+        above = [1 - sigmoid(x - f) for x in t]
+        assert got[k].p_best == pytest.approx(above[1], abs=1e-3) and got[k].expected_grade == pytest.approx(sum(above), abs=1e-3) and got[k].kept == (got[k].p_best >= classifier.TAIL)
