@@ -134,3 +134,32 @@ def test_minhash_default_is_five_words():
     import inspect
 
     assert inspect.signature(minhash.near_duplicates).parameters["words"].default == 5
+
+
+def test_pipeline_of_awkward_and_empty_tables(spark, tmp_path, tokenizer):
+    import corpus_pipeline as cp
+
+    rng = random.Random(5)
+    words = [f"word{k}" for k in range(3000)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    long, copy = prose(60_000), prose(80)
+    rows = [(k, prose(70), rng.choice(("en", "de", None)), rng.choice(("src0", "src1", None)), None) for k in range(40)]
+    rows += [(100, copy, "en", "src0", 1), (101, copy + " tail", "en", "src1", 2), (101, prose(90), "en", "src1", 3), (102, copy, None, None, None), (102, copy, None, None, None), (None, copy, "en", "src0", 4), (103, None, "en", "src0", 5), (104, "", None, "src1", 6), (105, long, "fr", "src0", 7)]
+    rows += [(106, copy.replace("word", "Word", 3) + " call +1 (269) 555-3296 or mail jo.fox@mail.example.com now", "en", "src1", 8)]
+    df = spark.createDataFrame([(*r, "a", "b", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, id string, host string, n_words int")
+    df.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    df.limit(0).coalesce(1).write.parquet(str(tmp_path / "none/documents.parquet"))
+    stage = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, f in cp.STAGES[:4]:
+        stage = f(spark, stage, str(tmp_path))
+        assert stage.columns == df.columns, name
+        stage = stage.cache()
+        if name == "quality_rules":
+            assert {r.doc_id for r in stage.collect()} == set(range(40)) | {100, 101, 102, 105, 106, None}
+        if name == "minhash_near_dedup":
+            kept = [(r.doc_id, r.text) for r in stage.collect()]
+            assert sorted(k for k, _ in kept if k is not None) == [*range(40), 100, 101, 105] and sum(k is None for k, _ in kept) == 1
+            assert dict(kept)[101] != copy + " tail"
+    pieces = cp.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in pieces} <= set(range(40)) | {100, 101, 105, None} and sum(r.length for r in pieces if r.doc_id == 105) > 0
+    assert cp.run(spark, str(tmp_path / "none")).count() == 0
