@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -60,12 +60,12 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Yield (first row, end row, bytes, offsets) with about BLOCK_BYTES in each; one row is never cut."""
+def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Yield (first row, end row, bytes, offsets) with about `size` bytes in each; one row is never cut."""
     raw, at = text_bytes(column)
     n, i = len(at) - 1, 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + BLOCK_BYTES, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(at, at[i] + size, side="right")) - 1)
         j = min(j, n)
         yield i, j, raw[at[i] : at[j]], at[i : j + 1] - at[i]
         i = j

@@ -37,6 +37,8 @@ SAMPLE = 16
 #: ranges of the hash, one of which is held at a time, and tasks that score rare tokens: the least, and tokens of the corpus for each
 RANGES, RANGE_TOKENS = 256, 500_000
 TASKS, TASK_TOKENS = 64, 20_000_000
+#: texts whose rare tokens of a range travel as one row
+RARE_BYTES = 4 << 20
 MU = 100.0
 HELD = 4_000_000
 
@@ -219,7 +221,7 @@ def _rare(corpus: DataFrame, shared, ranges: int) -> DataFrame:
         start = 0
         for batch in batches:
             target, ids = batch.column(2).to_numpy(zero_copy_only=False), batch.column(0)
-            for i, j, raw, at in K.blocks(batch.column(1)):
+            for i, j, raw, at in K.blocks(batch.column(1), RARE_BYTES):
                 w, u, pair, row, last = _tokens(raw, at)
                 word, place = f.places(w, pair)
                 gain = np.zeros(len(w))
