@@ -18,8 +18,8 @@ def components(edges: DataFrame, work: Workspace, name: str = "cc", most: int =
 
     edges: columns a, b of one orderable type.  Loops, repeats and nulls are ignored; no
     edges give an empty result.  Every round ends in a written table, and only two
-    numbers per round reach the driver.  Arcs meet the least neighbour of their centre; the
-    centres of very many arcs are broadcast for that, so a hub is no hot task.
+    numbers per round reach the driver.  Arcs meet the least neighbour of their centre; those
+    of a centre of very many are dealt to several tasks, so a hub is no hot task.
     """
     now = work.save(edges.where("a != b").select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).distinct(), f"{name}-0")
     total = now.count()

@@ -90,18 +90,22 @@ HEAVY_PARTS, LEAST_HEAVY = 4096, 1000
 
 
 def join_counted(rows: DataFrame, counted: DataFrame, key: str | list[str], n: str, total: int) -> DataFrame:
-    """rows joined to counted on key, with no task that holds a heavy key.
+    """rows joined to counted on key, with no task that holds all rows of a heavy key.
 
     counted has one row per key and, in column n, the number of rows with this key; total is
-    the number of all rows.  Heavy keys, HEAVY_PARTS at most, are broadcast, so their rows
-    stay where they are; all others meet by a shuffle.
+    the number of all rows.  The rows of a heavy key are dealt to several tasks by a hash of
+    their columns, and the key's row of counted to each of these.  Heavy keys, HEAVY_PARTS at
+    most, are broadcast.
     """
     least = max(LEAST_HEAVY, -(-total // HEAVY_PARTS))
+    keys = [key] if isinstance(key, str) else key
     if total < least:
-        return rows.join(counted, key)
-    heavy = counted.where(F.col(n) >= least)
-    light = rows.join(F.broadcast(heavy.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(counted.where(F.col(n) < least), key)
-    return rows.join(F.broadcast(heavy), key).unionByName(light)
+        return rows.join(counted, keys)
+    parts = F.ceil(F.col(n) / least).cast("int")
+    heavy = counted.where(F.col(n) > least).select(*keys, parts.alias("__parts"))
+    dealt = rows.join(F.broadcast(heavy), keys, "left").withColumn("__deal", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("__parts")), F.lit(0)).cast("int")).drop("__parts")
+    spread = counted.withColumn("__deal", F.explode(F.when(F.col(n) > least, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))))
+    return dealt.join(spread, [*keys, "__deal"]).drop("__deal")
 
 
 def empty(df: DataFrame) -> bool:
