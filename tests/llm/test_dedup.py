@@ -106,17 +106,21 @@ def vectors():
     return out
 
 
-@pytest.mark.parametrize("block", [1024, 7])
-def test_vectors_against_all_pairs(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "kind"), [(4096, "double"), (7, "double"), (30, "float")])
+def test_vectors_against_all_pairs(spark, monkeypatch, block, kind):
     monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "ROWS", 16)
     v = vectors()
+    if kind == "float":
+        v = [[float(x) for x in row] for row in np.array(v, np.float32)]
     m = np.array(v)
     m /= np.linalg.norm(m, axis=1)[:, None]
     near = m @ m.T >= 0.9
     links = [(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b]
     bad = [None, [], [0.0] * 24, [1.0, None], [float("nan")] * 24, [float("inf")] + [1.0] * 23, [1.0] * 3]
     rows = [(k, x if x is None else [a if a is None else float(a) for a in x]) for k, x in enumerate(v + bad)]
-    got = {r.id: r for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], f"vec_id long, embedding array<{kind}>, component string, rep int")
+    got = {r.id: r for r in embeddings.near_vectors(table).collect()}
     want = roots(range(len(rows)), links)
     assert {k: r.component_id for k, r in got.items()} == want
     assert [got[k].n_links for k in range(len(v))] == [int(x) - 1 for x in near.sum(axis=1)]
@@ -136,7 +140,7 @@ def test_index_recall_at_the_threshold(spark):
     assert got.where("n_links > 0 and not kept").count() / 1500 >= 0.9
 
 
-@pytest.mark.parametrize("pivots", [1024, 4096])
+@pytest.mark.parametrize("pivots", [128, 1024, 4096])
 def test_index_recall_does_not_fall_with_pivots(spark, pivots):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(2100, 64))
@@ -152,7 +156,38 @@ def test_index_recall_does_not_fall_with_pivots(spark, pivots):
 
 
 def test_vectors_empty_and_null_ids(spark):
-    df = spark.createDataFrame([(None, [1.0, 2.0]), (4, [1.0, 2.0]), (7, [1.0, 2.0]), (7, [-1.0, 0.0])], "vec_id long, embedding array<double>")
+    df = spark.createDataFrame([(None, [1.0, 2.0]), (4, [1.0, 2.0]), (7, [1.0, 2.0]), (7, [-1.0, 0.0]), (8, [-1.0, 0.01])], "vec_id long, embedding array<double>")
     got = sorted((r.id or -1, r.n_links, r.component_id, r.kept) for r in embeddings.near_vectors(df).collect())
-    assert got == [(-1, 0, None, True), (4, 1, 4, True), (7, 0, 7, True), (7, 1, 4, False)]
+    assert got == [(-1, 0, None, True), (4, 1, 4, True), (7, 1, 4, False), (7, 1, 7, True), (8, 1, 7, False)]
     assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+def test_deduplication_judges_rows_not_ids(spark):
+    a, b, c = "the first text of all", "a wholly other set of words", "and one more that stands alone"
+    rows = [(1, a, "p"), (5, a, "q"), (5, b, "r"), (5, b, "r"), (5, b, "s"), (7, b, "t"), (8, c, "u"), (8, None, "v"), (8, "", "v"), (None, a, "w"), (8, None, "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    got = sorted((r.doc_id or -1, r.text or "", r.id in "rs") for r in minhash.deduplicated(df, words=2).collect())
+    assert got == sorted([(1, a, False), (5, b, True), (8, c, False), (8, "", False), (8, "", False), (8, "", False), (-1, a, False)])
+    assert [sorted(map(str, minhash.deduplicated(df.repartition(k), words=2).collect())) for k in (1, 3)][0] == sorted(map(str, minhash.deduplicated(df, words=2).collect()))
+    assert minhash.deduplicated(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("heavy", [1000, 2])
+def test_a_bucket_of_many_distinct_texts(spark, monkeypatch, heavy):
+    """Texts that share a long passage but are not near, and near pairs among them."""
+    from registrum.llm import workspace
+
+    monkeypatch.setattr(workspace, "LEAST_HEAVY", heavy)
+    monkeypatch.setattr(workspace, "HEAVY_PARTS", 8)
+    monkeypatch.setattr(minhash, "BLOCK", 300)
+    rng = random.Random(9)
+    shared = " ".join(f"s{k}" for k in range(80))
+    rows = [(k, shared + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.choice((60, 90))))) for k in range(1500)]
+    rows += [(2000 + k, rows[7 * k][1] + f" more{k}") for k in range(100)]
+    sets = {k: shingles(t, 2) for k, t in rows}
+    by = {}
+    for k in range(100):
+        assert len(sets[7 * k] & sets[2000 + k]) / len(sets[7 * k] | sets[2000 + k]) >= 0.8
+        by[2000 + k] = 7 * k
+    got = {r.id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()}
+    assert got == {k: by.get(k, k) for k, _ in rows}
