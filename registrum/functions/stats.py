@@ -35,24 +35,43 @@ def safe_corr(x: str, y: str) -> Column:
     return F.when(~flat, F.try_divide(cov, F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))))
 
 
-def ranked(df: DataFrame, value: str, rank: str = "rank", ties: str = "min") -> DataFrame:
-    """df with the rank of value over all rows: ties get their least (min) or mean (average) rank.
+PARTS = 64
+
 
-    Ranks come from the counts of the distinct values, so no task sorts all rows; only the
-    running sum over distinct values is global, and that in ranges: values are split by
-    quantile buckets, and bucket totals are summed first.
+def running(df: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, value, n, before, total): rows of each distinct value, rows of lesser ones and all rows of its group; nulls left out.
+
+    No task sorts a group: distinct values fall into PARTS ranges between sampled quantiles, the
+    ranges' totals are summed first, and a window runs inside each range only.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("__n"))
-    parts = 64
-    bounds = counts.agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    span = F.greatest(F.col("__hi").cast("double") - F.col("__lo").cast("double"), F.lit(1e-300))
-    counts = counts.join(F.broadcast(bounds)).withColumn("__p", F.least(F.floor((F.col(value).cast("double") - F.col("__lo").cast("double")) / span * parts), F.lit(parts - 1)))
-    totals = counts.groupBy("__p").agg(F.sum("__n").alias("__t"))
-    totals = totals.withColumn("__base", F.sum("__t").over(W.orderBy("__p")) - F.col("__t")).drop("__t")  # at most `parts` rows
-    inside = W.partitionBy("__p").orderBy(value)
-    counts = counts.join(F.broadcast(totals), "__p").withColumn("__before", F.col("__base") + F.sum("__n").over(inside) - F.col("__n"))
-    number = F.col("__before") + 1 if ties == "min" else F.col("__before") + (F.col("__n") + 1) / 2.0
-    return df.join(counts.select(value, number.alias(rank)), value, "left")
+    keys = list(by)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    cuts = counts.agg(F.percentile_approx(value, [k / PARTS for k in range(1, PARTS)], 1000).alias("__cuts"))
+    counts = counts.join(F.broadcast(cuts)).withColumn("__p", F.expr(f"size(filter(coalesce(__cuts, array()), c -> c < `{value}`))")).drop("__cuts")  # one row of cuts
+    totals = counts.groupBy(*keys, "__p").agg(F.sum("n").alias("__t"))
+    group = W.partitionBy(*keys)
+    totals = totals.select(*keys, "__p", (F.sum("__t").over(group.orderBy("__p")) - F.col("__t")).alias("__base"), F.sum("__t").over(group).alias("total"))  # PARTS rows a group
+    inside = W.partitionBy(*keys, "__p").orderBy(value)
+    counts = counts.withColumn("__in", F.sum("n").over(inside) - F.col("n")).join(totals, [*keys, "__p"])
+    return counts.select(*keys, value, "n", (F.col("__base") + F.col("__in")).alias("before"), "total")
+
+
+def ranked(df: DataFrame, value: str, rank: str = "rank", ties: str = "min") -> DataFrame:
+    """df with the rank of value over all rows: ties get their least (min) or mean (average) rank; a null has none."""
+    number = F.col("before") + 1 if ties == "min" else F.col("before") + (F.col("n") + 1) / 2.0
+    return df.join(running(df, value).select(value, number.alias(rank)), value, "left")
+
+
+def quantiles(df: DataFrame, value: str, at: dict[str, float], by: tuple[str, ...] = (), digits: int = 4) -> DataFrame:
+    """One row per group: the interpolated quantiles named in `at`, rounded; a group of any size is held by no task."""
+    out = []
+    for name, p in at.items():
+        place = F.lit(p) * (F.col("total") - 1)
+        lo, hi = F.floor(place), F.ceil(place)
+        held = lambda k: F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("n")), F.col(value)))
+        a, b = held(lo), held(hi)
+        out.append(rounded(a + (b - a) * F.max(place - lo), digits).alias(name))
+    return running(df, value, by).groupBy(*by).agg(*out)
 
 
 def auc(df: DataFrame, score: str, positive: Column) -> DataFrame:
@@ -65,8 +84,5 @@ def auc(df: DataFrame, score: str, positive: Column) -> DataFrame:
 
 def order_statistic(df: DataFrame, value: str, p: float, out: str) -> DataFrame:
     """One row: the value at index int(p * (n - 1)) of the sorted values, without interpolation."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("__n"))
-    running = counts.withColumn("__hi", F.sum("__n").over(W.orderBy(value)))  # distinct values of a rounded score
-    total = counts.agg(F.sum("__n").alias("__all"))
-    at = running.join(F.broadcast(total)).where(F.col("__hi") > F.floor(F.lit(p) * (F.col("__all") - 1)))
+    at = running(df, value).where(F.col("before") + F.col("n") > F.floor(F.lit(p) * (F.col("total") - 1)))
     return at.agg(F.min(value).alias(out))

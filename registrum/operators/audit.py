@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.stats import ranked, rounded, safe_corr, wilson
+from ..functions.stats import quantiles, ranked, rounded, safe_corr, wilson
+from ..session import written
 from . import grouping, merge
 from .profile import WEIGHTS, weighted_score
 
@@ -36,6 +37,32 @@ def audit_sample(ops: DataFrame, key: str = "op_key", size: str = "n_marks", str
     return top.unionByName(rest.select(key, size, "stratum"))
 
 
+def names_at(rows: DataFrame, addr: str, name: str, at: Sequence | DataFrame, top: int = 10) -> DataFrame:
+    """(addr, name, n, rank): the most frequent names at each of the given addresses, a list of keys or a table of them."""
+    wanted = at if isinstance(at, DataFrame) else rows.sparkSession.createDataFrame([(a,) for a in at], f"`{addr}` {dict(rows.dtypes)[addr]}")
+    return merge.top_values(rows.join(wanted.select(addr).distinct(), addr, "left_semi"), addr, name, top)
+
+
+def variants_compared(base: DataFrame, variants: Mapping[str, grouping.Variant], key: str, name: str, addr: str, aggregates: Mapping[str, Column], min_marks: int, weights: Mapping[str, float] = WEIGHTS, top: int = 100) -> DataFrame:
+    """One row per variant: its sensitivity summary, and against the first variant the rank correlation of filing scores and the Jaccard of top deciles and of the `top` operations' filings."""
+    scores: dict[str, DataFrame] = {}
+    heads: dict[str, DataFrame] = {}
+    out = None
+    for label, variant in variants.items():
+        ops, filings = filing_scores(base, variant, name, addr, aggregates, min_marks, weights)
+        filings = written(filings.select(key, "op_key", "score"), "filings")
+        best = ops.orderBy(F.col("score").desc(), F.col("n_marks").desc(), F.col("op_key").asc()).limit(top).select("op_key")
+        scores[label] = written(filings.groupBy(key).agg(F.max("score").alias("score")), "scores")
+        heads[label] = filings.join(F.broadcast(best), "op_key", "left_semi").select(key).distinct()  # `top` rows
+        first = next(iter(variants))
+        row = sensitivity_summary(ops, filings).select(F.lit(label).alias("variant"), "*")
+        both = heads[first].withColumn("a", F.lit(1)).join(heads[label].withColumn("b", F.lit(1)), key, "full")
+        head = both.agg(F.try_divide(F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).cast("double"), F.count("*").cast("double")).alias("top_jaccard"))
+        row = row.join(spearman(scores[first], scores[label], key, "score")).join(top_decile_jaccard(scores[first], scores[label], key, "score")).join(head)  # one row each
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def evidence(members: DataFrame, key: str, values: Mapping[str, int]) -> DataFrame:
     """key and, for each value column, an array of its most frequent values with their counts."""
     out = members.select(key).distinct()
@@ -49,20 +76,20 @@ def filing_scores(base: DataFrame, variant: grouping.Variant, name: str, addr: s
     """(operations with score, filings with op_key and score) under one grouping variant."""
     rows = grouping.assigned(base, variant, name, addr)
     ops = rows.groupBy("op_key").agg(F.count("*").alias("n_marks"), *(v.alias(k) for k, v in aggregates.items())).where(F.col("n_marks") >= min_marks)
-    ops = ops.withColumn("score", rounded(weighted_score(weights)))
+    ops = written(ops.withColumn("score", rounded(weighted_score(weights))), "operations")
     return ops, rows.join(ops.select("op_key", "score"), "op_key")
 
 
 def sensitivity_summary(ops: DataFrame, filings: DataFrame) -> DataFrame:
     """One row: operations, p50 and p90 of their score, filings, and filings in operations of score 0.5 or more."""
-    a = ops.agg(F.count("*").alias("n_ops"), F.percentile("score", 0.5).alias("p50"), F.percentile("score", 0.9).alias("p90"))
+    a = ops.agg(F.count("*").alias("n_ops")).join(quantiles(ops, "score", {"p50": 0.5, "p90": 0.9}, digits=6))
     b = filings.agg(F.count("*").alias("n_filings"), F.coalesce(F.sum(F.when(F.col("score") >= 0.5, 1)), F.lit(0)).cast("long").alias("filings_scored"))
     return a.join(b)  # one row each
 
 
 def spearman(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
     """One row: shared keys and the correlation of minimum ranks; null where either side does not vary."""
-    both = left.select(key, F.col(value).alias("a")).join(right.select(key, F.col(value).alias("b")), key)
+    both = written(left.select(key, F.col(value).alias("a")).join(right.select(key, F.col(value).alias("b")), key), "ranks")
     both = ranked(ranked(both, "a", "ra"), "b", "rb").withColumns({"ra": F.col("ra").cast("double"), "rb": F.col("rb").cast("double")})
     return both.agg(F.count("*").alias("n_shared"), safe_corr("ra", "rb").alias("spearman"))
 
@@ -71,7 +98,8 @@ def top_decile_jaccard(left: DataFrame, right: DataFrame, key: str, value: str)
     """One row: Jaccard of the keys at or over each side's own 90th percentile; a missing side counts as outside."""
 
     def flagged(df: DataFrame, out: str) -> DataFrame:
-        cut = df.agg(F.percentile(value, 0.9).alias("__c"))
+        df = written(df.select(key, value), "decile")
+        cut = quantiles(df, value, {"__c": 0.9}, digits=6)
         return df.join(F.broadcast(cut)).select(key, (F.col(value) >= F.col("__c")).alias(out))  # one row
 
     both = flagged(left, "a").join(flagged(right, "b"), key, "full")
@@ -90,7 +118,8 @@ def colocated(rows: DataFrame, addr: str, name: str, aggregates: Mapping[str, Co
     live = rows.where(F.col(addr).isNotNull() & F.col(name).isNotNull())
     live = live.join(grouping.hubs(live, name, addr, name_hub), name, "left_anti").join(grouping.hubs(live, addr, name, addr_hub), addr, "left_anti")
     groups = live.groupBy(addr, name).agg(F.count("*").alias("n"), *(v.alias(k) for k, v in aggregates.items())).where(F.col("n") >= min_filings).withColumn("score", rounded(score))
-    cut = groups.agg(F.coalesce(F.percentile("score", 0.75), F.lit(1e9)).alias("p75"))
+    groups = written(groups.select(addr, name, "n", "score"), "groups")
+    cut = quantiles(groups, "score", {"p75": 0.75}, digits=6).select(F.coalesce("p75", F.lit(1e9)).alias("p75"))
     per = groups.join(F.broadcast(cut)).groupBy(addr, "p75").agg(F.count("*").alias("n_names"), F.count_if(F.col("score") >= F.col("p75")).alias("n_peculiar"), F.max("score").alias("max_score"), F.sum("n").alias("n_filings"))  # one row of cut
     per = per.where((F.col("n_names") >= 2) & (F.col("max_score") >= F.col("p75"))).drop("p75")
     return per.orderBy(F.col("n_peculiar").desc(), F.col("max_score").desc(), F.col("n_filings").desc(), F.col(addr).asc()).limit(top)

@@ -31,7 +31,7 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, name: str) -> DataFrame:
     """One row: child rows without a parent."""
-    keys = parent.select(F.col(parent_key).alias(child_key)).distinct()
+    keys = parent.select(F.col(parent_key).alias(child_key))  # an anti join needs no distinct keys
     return child.join(keys, child_key, "left_anti").agg(F.count("*").alias("orphans")).select(F.lit(name).alias("child"), "orphans")
 
 
@@ -75,30 +75,43 @@ def null_rates(df: DataFrame, table: str, columns: Sequence[str] | None = None)
     return one.select(rows.alias("r")).select(F.lit(table).alias("table_name"), "r.*")
 
 
+def volume(now: DataFrame, before: DataFrame, *by: str) -> DataFrame:
+    """(by, n, n_before, failed) of two states of a table: a group, or without groups the table, that lost rows has failed."""
+    a = now.groupBy(*by).agg(F.count("*").alias("n"))
+    b = before.groupBy(*by).agg(F.count("*").alias("n_before"))
+    both = a.join(b, list(by), "full") if by else a.join(b)  # one row each
+    n = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return both.select(*by, n("n"), n("n_before")).withColumn("failed", F.col("n") < F.col("n_before"))
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, n) of every table; empty ones count 0."""
     return reduce(DataFrame.unionByName, (df.agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n") for t, df in tables.items()))
 
 
-def reconcile(tables: Mapping[str, DataFrame], parent: str, key: str, today: str, known_sources: DataFrame | None = None, previous_rows: int | None = None) -> DataFrame:
-    """Run all gates; returns the date profile, or raises GateError with every failure.
+def date_profile(tables: Mapping[str, DataFrame], today: str) -> DataFrame:
+    """date_outliers() of every table's date columns."""
+    dated = {t: [c for c, k in df.dtypes if k == "date" and c != "file_dt_source"] for t, df in tables.items()}
+    return reduce(DataFrame.unionByName, (date_outliers(df, t, {c: ceiling_of(c, today) for c in dated[t]}) for t, df in tables.items() if dated[t]))
+
+
+def failures(tables: Mapping[str, DataFrame], parent: str, key: str, dates: DataFrame, known_sources: DataFrame | None = None, previous: DataFrame | None = None) -> list[str]:
+    """What each gate finds, all gates together; empty if the build passes.  Only counts reach the driver.
 
-    Only counts reach the driver.
+    dates: date_profile(); previous: the parent table of the released build.
     """
-    failures = []
+    out = []
     twice = duplicated_keys(tables[parent], [key]).first()[0]
     if twice:
-        failures.append(f"{parent}: {twice} repeated keys")
+        out.append(f"{parent}: {twice} repeated keys")
     for t, df in tables.items():
         if t != parent and (n := orphans(df, tables[parent], key, key, t).first()["orphans"]):
-            failures.append(f"{t}: {n} rows without a {parent}")
-    dated = {t: [c for c, k in df.dtypes if k == "date" and c != "file_dt_source"] for t, df in tables.items()}
-    dates = reduce(DataFrame.unionByName, (date_outliers(df, t, {c: ceiling_of(c, today) for c in dated[t]}) for t, df in tables.items() if dated[t]))
-    failures += [f"{r.table_name}.{r.column_name}: {r.below} early and {r.above} late dates in {r.total} rows" for r in dates.where("failed").collect()]
-    if previous_rows is not None and (now := tables[parent].count()) < previous_rows:
-        failures.append(f"{parent}: {now} rows, {previous_rows} before")
-    if known_sources is not None and (n := unknown_sources(tables[parent], "file_name_source", known_sources).count()):
-        failures.append(f"{n} source files are unknown")
-    if failures:
-        raise GateError(failures)
-    return dates
+            out.append(f"{t}: {n} rows without a {parent}")
+    out += [f"{r.table_name}.{r.column_name}: {r.below} early and {r.above} late dates in {r.total} rows" for r in dates.where("failed").collect()]
+    if previous is not None and (r := volume(tables[parent], previous).first()).failed:
+        out.append(f"{parent}: {r.n} rows, {r.n_before} before")
+    if known_sources is not None:
+        for t, df in tables.items():
+            if n := unknown_sources(df, "file_name_source", known_sources).count():
+                out.append(f"{t}: {n} source files are unknown")
+    return out

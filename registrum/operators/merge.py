@@ -1,7 +1,7 @@
 """Latest-wins merge of upsert files, deduplication and picks.
 
-Winners come from a hash aggregate (max_by), not from a window: a key with very many
-versions is reduced map-side and sorts nothing.
+Winners come from an aggregate (max_by) that reduces map-side, not from a window: a key with very many
+versions is never sorted in one task. Its struct buffers make it a sort-based aggregate.
 """
 
 from __future__ import annotations

@@ -119,10 +119,12 @@ def lineage_gate(t: Tables) -> DataFrame:
     return gates.unknown_sources(t.documents, "source", t.spark.range(10).select(F.concat(F.lit("src"), "id")))
 
 
-@query("""SELECT o_orderstatus, n, n_before FROM (SELECT o_orderstatus, count(*) n, count(*) FILTER (WHERE o_orderdate::DATE < DATE '1998-01-01') n_before FROM orders GROUP BY 1) WHERE n >= n_before""")
+@query("""SELECT o_orderpriority, n, n_before, n < n_before AS failed FROM (SELECT o_orderpriority, count(*) FILTER (WHERE year(o_orderdate) = 1998) n, count(*) FILTER (WHERE year(o_orderdate) = 1997) n_before FROM orders WHERE year(o_orderdate) IN (1997, 1998) GROUP BY 1)
+  UNION ALL SELECT NULL, (SELECT count(*) FROM orders WHERE year(o_orderdate) = 1998), count(*), (SELECT count(*) FROM orders WHERE year(o_orderdate) = 1998) < count(*) FROM orders""")
 def gate_volume(t: Tables) -> DataFrame:
-    rows = t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.count_if(F.col("o_orderdate").cast("date") < F.lit("1998-01-01").cast("date")).alias("n_before"))
-    return rows.where("n >= n_before")
+    year = lambda y: t.orders.where(F.year("o_orderdate") == y)
+    whole = gates.volume(year(1998), t.orders).select(F.lit(None).cast("string").alias("o_orderpriority"), "*")
+    return gates.volume(year(1998), year(1997), "o_orderpriority").unionByName(whole)
 
 
 # --- text keys ----------------------------------------------------------------------------
@@ -198,20 +200,58 @@ def filing_basis_case(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", F.when(p == "1-URGENT", "use").when(s == "F", "intent").when((s == "O") | (p == "5-LOW"), "foreign").alias("basis"))
 
 
-def _features(t: Tables) -> DataFrame:
-    """orders as the record table; line items as its children."""
-    goods = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max(F.col("l_linenumber").cast("long")).alias("goods"))
-    pick = _picked(t).select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("owner"))
-    rows = t.orders.join(_flags(t), "o_orderkey", "left").join(pick, "o_orderkey", "left").join(goods, "o_orderkey", "left")
-    no = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
-    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"), F.coalesce("owner", F.lit(-1)).alias("owner"), no("returned"), no("open_line"), no("large"), F.coalesce("goods", F.lit(0)).alias("goods"), F.year("o_orderdate").cast("long").alias("year"))
+def _registry(t: Tables) -> dict[str, DataFrame]:
+    """Orders as the record table, line items and customers as its children."""
+    key = F.col("l_orderkey").cast("string").alias("serial_no")
+    s, p = F.col("o_orderstatus"), F.col("o_orderpriority")
+    no = F.lit(False)
+    cases = t.orders.select(
+        F.col("o_orderkey").cast("string").alias("serial_no"), F.when(s != "P", p).alias("mark_id_char"), F.when(s == "O", "4").otherwise("2").alias("mark_draw_cd"), (s == "F").alias("use_af_in"), (p == "1-URGENT").alias("use_intent_in"),
+        (p == "2-HIGH").alias("for_app_in"), no.alias("for_reg_in"), (p == "5-LOW").alias("intl_reg_in"), F.col("o_orderdate").cast("date").alias("filing_dt"), F.when(F.col("o_custkey") % 3 > 0, F.concat_ws(" ", F.lit("Ann"), F.lit("Day"), (F.col("o_custkey") % 50).cast("string"))).alias("attorney_name"),
+        F.when(F.col("o_totalprice") > 480000, "610").alias("status_cd"), F.when(p == "3-MEDIUM", True).alias("use_afdv_acc_in"), F.when(s != "O", F.col("o_orderdate").cast("date")).alias("registration_dt"),
+    )
+    n = F.col("l_linenumber").cast("int")
+    return {
+        "case_file": cases,
+        "intl_class": t.lineitem.select(key, F.when(F.col("l_returnflag") == "R", "009").otherwise("001").alias("intl_class_cd")),
+        "event": t.lineitem.select(key, F.when(F.col("l_linestatus") == "O", F.when(F.col("l_quantity") >= 25, "CNCF").otherwise("KBOC")).when(F.col("l_quantity") >= 49, "ABN6").alias("event_cd")),
+        "owner": t.lineitem.select(key, F.when(F.col("l_returnflag") == "R", "10").otherwise("20").alias("own_type_cd"), n.alias("own_seq"), F.col("l_suppkey").cast("string").alias("own_name"), (F.col("l_suppkey") % 5).cast("string").alias("own_addr_country_cd")),
+        "statement": t.lineitem.select(key, F.when(F.col("l_quantity") > 10, "GS0091").otherwise("TR0001").alias("statement_type_cd"), F.concat(F.lit("it means x"), F.repeat(F.lit("; a"), n)).alias("statement_text")),
+        "correspondent": t.orders.select(F.col("o_orderkey").cast("string").alias("serial_no"), F.when(F.col("o_custkey") % 4 > 0, F.concat((F.col("o_custkey") % 40).cast("string"), F.lit(" Main St"))).alias("cor_addr_2"), F.lit(None).cast("string").alias("cor_addr_3"), F.lit("Riga").alias("cor_addr_4")),
+    }
+
 
+def _registry_scores(t: Tables) -> DataFrame:
+    return t.orders.select(F.col("o_orderkey").cast("string").alias("serial_no"), (F.col("o_totalprice") / 500000.0).alias("whole"), F.when(F.col("o_totalprice") > 20000, F.col("o_totalprice") / 400000.0).alias("token_max"))
 
-@query(f"""SELECT o_orderkey, o_custkey, o_orderstatus, coalesce(p.l_suppkey, -1) AS owner, coalesce(f.returned, false) returned, coalesce(f.open_line, false) open_line, coalesce(f.large, false) large, coalesce(f.goods, 0) goods, year(o_orderdate)::BIGINT AS year
-  FROM orders LEFT JOIN (SELECT * FROM (SELECT *, {_PICK} rn FROM lineitem) WHERE rn = 1) p ON p.l_orderkey = o_orderkey
-  LEFT JOIN (SELECT l_orderkey, bool_or(l_returnflag = 'R') returned, bool_or(l_linestatus = 'O') open_line, bool_or(l_quantity >= 45) large, max(l_linenumber)::BIGINT goods FROM lineitem GROUP BY 1) f ON f.l_orderkey = o_orderkey""")
+
+_CHILDREN = """kid AS (SELECT l_orderkey, bool_or(l_returnflag = 'R') AS market, bool_or(l_linestatus = 'O' AND l_quantity >= 25) AS refused, bool_or(l_linestatus <> 'O' AND l_quantity >= 49) AS no_use, bool_or(l_linestatus = 'O' AND l_quantity < 25) AS sanction,
+  max(CASE WHEN l_quantity > 10 THEN l_linenumber + 1 END)::BIGINT AS goods, bool_or(l_quantity <= 10) AS tr FROM lineitem GROUP BY 1),
+own AS (SELECT l_orderkey, l_suppkey::VARCHAR AS applicant, (l_suppkey % 5)::VARCHAR AS country FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY (l_returnflag = 'R') DESC, l_linenumber, l_suppkey::VARCHAR) k FROM lineitem) WHERE k = 1),
+rec AS (SELECT orders.*, kid.*, own.applicant, own.country, CASE WHEN o_totalprice > 20000 THEN o_totalprice / 400000.0::DOUBLE END AS token_max FROM orders LEFT JOIN kid ON kid.l_orderkey = o_orderkey LEFT JOIN own ON own.l_orderkey = o_orderkey),
+feat AS (SELECT o_orderkey::VARCHAR serial_no, o_orderpriority mark_id_char, o_totalprice / 500000.0::DOUBLE coined_mark_score, token_max coined_token_max, strpos(trim(o_orderpriority), ' ') = 0 single_token, o_orderstatus = 'O' is_standard_char, coalesce(market, false) is_marketplace_class,
+  CASE WHEN o_orderstatus = 'F' THEN 'use' WHEN o_orderpriority = '1-URGENT' THEN 'intent' WHEN o_orderpriority = '2-HIGH' THEN 'foreign' WHEN o_orderpriority = '5-LOW' THEN 'madrid' END filing_basis, country owner_country, goods goods_item_count,
+  coalesce(refused, false) final_refusal_in, coalesce(no_use, false) abandoned_no_use_in, year(o_orderdate)::BIGINT filing_year FROM rec WHERE o_orderstatus <> 'P')"""
+
+
+@query(f"WITH {_CHILDREN} SELECT * REPLACE (coalesce(goods_item_count, 0) AS goods_item_count) FROM feat")
 def features(t: Tables) -> DataFrame:
-    return _features(t).drop("o_totalprice", "day")
+    return profile.mark_features(_registry(t), _registry_scores(t)).fillna({"goods_item_count": 0})
+
+
+@query(f"""WITH {_CHILDREN} SELECT o_orderkey::VARCHAR serial_no, o_orderdate::DATE filing_dt, CASE WHEN o_custkey % 3 > 0 THEN 'Ann Day ' || o_custkey % 50 END attorney_name, CASE WHEN o_custkey % 3 > 0 THEN 'ANN DAY' END AS name, nullif(CASE WHEN o_custkey % 4 > 0 THEN (o_custkey % 40) || 'MAINST' ELSE '' END || 'RIGA', '') addr,
+  applicant, country, (coalesce(token_max, 0) >= 0.85)::INT coined, (o_orderstatus = 'F')::INT use1a, (o_orderstatus <> 'O')::INT design, coalesce(goods, 0) goods, coalesce(market, false)::INT mkt, coalesce(refused, false)::INT refused, coalesce(no_use, false)::INT no_use FROM rec
+  WHERE o_orderdate::DATE >= DATE '1997-01-01' AND (o_custkey % 3 > 0 OR o_custkey % 4 > 0)""")
+def filings_base(t: Tables) -> DataFrame:
+    return profile.filings_base(_registry(t), _registry_scores(t), "1997-01-01").fillna({"goods": 0})
+
+
+@query(f"""WITH {_CHILDREN}, lab AS (SELECT o_orderkey::VARCHAR serial_no, tr, CASE WHEN coalesce(sanction, false) OR o_totalprice > 480000 THEN 1 WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus <> 'O' THEN 0 END y FROM rec)
+SELECT serial_no, y, mark_id_char, coined_token_max ngram_coined, coined_mark_score ngram_whole, single_token::INT single_token, is_standard_char::INT standard_char, is_marketplace_class::INT marketplace_class, coalesce(goods_item_count, 0) goods, (coalesce(filing_basis, '') = 'use')::INT use_basis, coalesce(tr, false)::INT real_translation, filing_year
+FROM feat JOIN lab USING (serial_no) WHERE y IS NOT NULL AND coined_token_max IS NOT NULL AND filing_year >= 1997""")
+def evaluation_pool(t: Tables) -> DataFrame:
+    rows = _registry(t)
+    return evaluate.evaluation_pool(evaluate.labels(rows), profile.mark_features(rows, _registry_scores(t)), rows["statement"], 1997)
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey = 7")
@@ -379,9 +419,9 @@ def tier1_list(t: Tables) -> DataFrame:
     return profile.tier1({"event": events, "case_file": cases})
 
 
-@query(f"""SELECT key FROM (SELECT {_KEY} AS key, max(p_size / 25.0::DOUBLE + 0.5 * coalesce((p_type LIKE '%STEEL%')::INT, 0) + 0.3 * coalesce((CASE WHEN p_size > 5 THEN p_size * 2 END > 20)::INT, 0) + 0.2 * coalesce((strpos(trim(p_name), ' ') = 0)::INT, 0)) s FROM part GROUP BY 1) WHERE key <> '' AND s >= 2.75""")
+@query(f"""SELECT key FROM (SELECT {_KEY} AS key, max(p_size / 25.0::DOUBLE + 0.5 * coalesce((p_type LIKE '%STEEL%')::INT, 0) + 0.3 * coalesce((CASE WHEN p_size > 5 THEN p_size * 2 END > 20)::INT, 0) + 0.2 * coalesce((strpos(trim(p_name), ' ') = 0)::INT, 0)) s FROM part GROUP BY 1) WHERE key <> '' AND s >= 2.3""")
 def tier2_list(t: Tables) -> DataFrame:
-    return profile.tier2(_marks(t), 2.75)
+    return profile.tier2(_marks(t), 2.3)
 
 
 @query(f"WITH {_PROFILE} SELECT DISTINCT {_KEY} AS key FROM part WHERE p_partkey::VARCHAR IN (SELECT m.ad::VARCHAR FROM m JOIN p USING (op_key) WHERE n_marks >= 550 AND owner_turnover >= 0.6 AND NOT is_shared_service) AND {_KEY} <> ''")
@@ -508,7 +548,7 @@ asg{tag} AS (SELECT lineitem.*, {_ladder(mode)} op_key FROM lineitem JOIN nd{tag
 ops{tag} AS (SELECT op_key, count(*) n_marks, {_AGG_SQL} FROM asg{tag} GROUP BY 1 HAVING count(*) >= 20), sc{tag} AS (SELECT op_key, {_SCORED} score FROM ops{tag}), fs{tag} AS (SELECT a.*, score FROM asg{tag} a JOIN sc{tag} USING (op_key))"""
 
 
-@query(f"""WITH {_variant_sql('grouping_shipped', '1')} SELECT * FROM (SELECT count(*) n_ops, quantile_cont(score, 0.5) p50, quantile_cont(score, 0.9) p90 FROM sc1), (SELECT count(*) n_filings, coalesce(sum(1) FILTER (WHERE score >= 0.5), 0)::BIGINT filings_scored FROM fs1)""")
+@query(f"""WITH {_variant_sql('grouping_shipped', '1')} SELECT * FROM (SELECT count(*) n_ops, floor(quantile_cont(score, 0.5) * 1e6 + 0.5) / 1e6 p50, floor(quantile_cont(score, 0.9) * 1e6 + 0.5) / 1e6 p90 FROM sc1), (SELECT count(*) n_filings, coalesce(sum(1) FILTER (WHERE score >= 0.5), 0)::BIGINT filings_scored FROM fs1)""")
 def sensitivity_summary(t: Tables) -> DataFrame:
     return audit.sensitivity_summary(*_variant_scores(t, "grouping_shipped"))
 
@@ -527,7 +567,7 @@ def spearman_variants(t: Tables) -> DataFrame:
     return audit.spearman(a, b, "l_orderkey", "score").withColumn("spearman", stats.rounded(F.col("spearman"), 6))
 
 
-@query(f"""WITH {_variant_sql('grouping_shipped', '1')}, {_variant_sql('grouping_strict_hubs', '2')}, x AS ({_ORDER.format('fs1')}), y AS ({_ORDER.format('fs2')}), a AS (SELECT l_orderkey, score >= (SELECT quantile_cont(score, 0.9) FROM x) a FROM x), b AS (SELECT l_orderkey, score >= (SELECT quantile_cont(score, 0.9) FROM y) b FROM y)
+@query(f"""WITH {_variant_sql('grouping_shipped', '1')}, {_variant_sql('grouping_strict_hubs', '2')}, x AS ({_ORDER.format('fs1')}), y AS ({_ORDER.format('fs2')}), a AS (SELECT l_orderkey, score >= (SELECT floor(quantile_cont(score, 0.9) * 1e6 + 0.5) / 1e6 FROM x) a FROM x), b AS (SELECT l_orderkey, score >= (SELECT floor(quantile_cont(score, 0.9) * 1e6 + 0.5) / 1e6 FROM y) b FROM y)
 SELECT count(*) FILTER (WHERE coalesce(a, false) AND coalesce(b, false))::DOUBLE / nullif(count(*) FILTER (WHERE coalesce(a, false) OR coalesce(b, false)), 0) jaccard FROM a FULL JOIN b USING (l_orderkey)""")
 def top_decile_jaccard(t: Tables) -> DataFrame:
     a, b = (_per_order(_variant_scores(t, x)[1]) for x in ("grouping_shipped", "grouping_strict_hubs"))
@@ -535,7 +575,7 @@ def top_decile_jaccard(t: Tables) -> DataFrame:
 
 
 @query(f"""WITH nh AS (SELECT l_suppkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_partkey) > 620), ah AS (SELECT l_partkey FROM lineitem WHERE l_suppkey NOT IN (SELECT l_suppkey FROM nh) GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 45),
-g AS (SELECT l_partkey, l_suppkey, count(*) n, {_AGG_SQL} FROM lineitem WHERE l_suppkey NOT IN (SELECT l_suppkey FROM nh) AND l_partkey NOT IN (SELECT l_partkey FROM ah) GROUP BY 1, 2 HAVING count(*) >= 2), s AS (SELECT *, {_SCORED} score FROM g), c AS (SELECT coalesce(quantile_cont(score, 0.75), 1e9) p75 FROM s)
+g AS (SELECT l_partkey, l_suppkey, count(*) n, {_AGG_SQL} FROM lineitem WHERE l_suppkey NOT IN (SELECT l_suppkey FROM nh) AND l_partkey NOT IN (SELECT l_partkey FROM ah) GROUP BY 1, 2 HAVING count(*) >= 2), s AS (SELECT *, {_SCORED} score FROM g), c AS (SELECT coalesce(floor(quantile_cont(score, 0.75) * 1e6 + 0.5) / 1e6, 1e9) p75 FROM s)
 SELECT * FROM (SELECT l_partkey, count(*) n_names, count(*) FILTER (WHERE score >= p75) n_peculiar, max(score) max_score, sum(n)::BIGINT n_filings FROM s, c GROUP BY l_partkey, p75 HAVING count(*) >= 2 AND max(score) >= p75) ORDER BY n_peculiar DESC, max_score DESC, n_filings DESC, l_partkey LIMIT 200""")
 def colocation(t: Tables) -> DataFrame:
     return audit.colocated(t.lineitem, "l_partkey", "l_suppkey", _aggregates(), profile.weighted_score(_WEIGHTS), 2, 620, 45)
@@ -596,6 +636,18 @@ def lookup_join(t: Tables) -> DataFrame:
     return rows.orderBy(F.col("n").desc(), "n_name").limit(50)
 
 
+@query("""SELECT l_returnflag, l_linestatus, n, CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'returned, closed' WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'new, open' WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'accepted, closed' END AS description
+  FROM (SELECT l_returnflag, l_linestatus, count(*) n FROM lineitem GROUP BY 1, 2)""")
+def lookup_on_two_columns(t: Tables) -> DataFrame:
+    codes = t.spark.createDataFrame([("R", "F", "returned, closed"), ("N", "O", "new, open"), ("A", "F", "accepted, closed"), ("R", None, "half a code")], "l_returnflag string, l_linestatus string, description string")
+    return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n")).join(codes, ["l_returnflag", "l_linestatus"], "left")
+
+
+@query("""SELECT l_partkey, l_suppkey, n, rank FROM (SELECT l_partkey, l_suppkey, count(*) n, row_number() OVER (PARTITION BY l_partkey ORDER BY count(*) DESC, l_suppkey) rank FROM lineitem WHERE l_partkey IN (1, 2, 3, 5, 8, 13, 21) GROUP BY 1, 2) WHERE rank <= 3""")
+def names_at_addresses(t: Tables) -> DataFrame:
+    return audit.names_at(t.lineitem, "l_partkey", "l_suppkey", [1, 2, 3, 5, 8, 13, 21], 3)
+
+
 @query("SELECT n_name, year(o_orderdate)::BIGINT AS year, count(DISTINCT o_orderkey) n FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY 1, 2")
 def surge_by_geo_class(t: Tables) -> DataFrame:
     rows = t.orders.join(t.lineitem.where("l_returnflag = 'R'").select("l_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer, F.col("c_custkey") == F.col("o_custkey")).join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
@@ -631,9 +683,9 @@ def address_grouping(t: Tables) -> DataFrame:
     return t.part.groupBy(text.address_key(F.col("p_brand"), F.col("p_type")).alias("addr")).agg(F.count("*").alias("n"), F.count_distinct("p_name").alias("names"))
 
 
-@query("SELECT l_returnflag, quantile_cont(l_extendedprice, 0.5) p50, quantile_cont(l_extendedprice, 0.75) p75, quantile_cont(l_extendedprice, 0.9) p90 FROM lineitem GROUP BY 1")
+@query("SELECT l_returnflag, floor(quantile_cont(l_extendedprice, 0.5) * 1e4 + 0.5) / 1e4 p50, floor(quantile_cont(l_extendedprice, 0.75) * 1e4 + 0.5) / 1e4 p75, floor(quantile_cont(l_extendedprice, 0.9) * 1e4 + 0.5) / 1e4 p90 FROM lineitem GROUP BY 1")
 def price_percentiles(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_returnflag").agg(*(F.percentile("l_extendedprice", p).alias(f"p{round(100 * p)}") for p in (0.5, 0.75, 0.9)))
+    return stats.quantiles(t.lineitem, "l_extendedprice", {"p50": 0.5, "p75": 0.75, "p90": 0.9}, ("l_returnflag",))
 
 
 @query("SELECT o_orderstatus, floor(corr(o_totalprice, o_custkey) * 1e6 + 0.5) / 1e6 r, corr(1.0::DOUBLE, o_custkey) IS NULL OR isnan(corr(1.0::DOUBLE, o_custkey)) flat FROM orders GROUP BY 1")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,3 +49,26 @@ def ship(spark: SparkSession) -> None:
             z.write(p, f"{root.name}/{p.relative_to(root).as_posix()}")
     spark.sparkContext.addPyFile(target)
     _shipped.add(app)
+
+
+_own: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir of the session; a temporary folder only in local mode where it is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="registrum-")
+    return _own[app]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table of the shared folder: what several plans use is computed once, and read again after a loss."""
+    where = f"{shared_folder(df.sparkSession)}/registrum-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)

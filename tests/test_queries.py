@@ -15,7 +15,7 @@ def con():
 def test_query_equals_its_sql(spark, con, name):
     got = Q.queries()[name](spark, SMALL).toPandas()
     want = con.execute(Q.oracle_sql()[name]).df()
-    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(got.columns) == sorted(want.columns) and len(want), "an oracle without rows compares nothing"
     assert compare.rows(got) == compare.rows(want)
 
 
