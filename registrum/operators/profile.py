@@ -79,6 +79,13 @@ def filings_base(tables: Mapping[str, DataFrame], scores: DataFrame, since: str
     )
 
 
+def aggregates() -> dict[str, Column]:
+    """Rates of an operation over filings_base(), as far as a score needs them."""
+    mean = lambda c: F.avg(F.col(c).cast("double"))
+    turnover = F.count_distinct("applicant") / F.count("*").cast("double")
+    return {"owner_turnover": turnover, "coined_rate": mean("coined"), "marketplace_rate": mean("mkt"), "use1a_rate": mean("use1a"), "goods_chaos": F.least(mean("goods") / 20.0, F.lit(1.0))}
+
+
 def operation_profile(rows: DataFrame, key: str = "op_key", min_marks: int = MIN_MARKS) -> DataFrame:
     """One row per operation of min_marks filings or more.
 

@@ -59,6 +59,12 @@ def prunable(names: Iterable[str]) -> list[str]:
     return [s.name for s in map(parsed, names) if s and s.kind == "daily" and cutoff and s.day <= cutoff]
 
 
+def missing(offered: Iterable[str], held: Iterable[str]) -> list[str]:
+    """What to fetch of the names offered: the inputs of a build over them that are not held yet."""
+    held = set(held)
+    return [s.name for s in selected(offered)[1] if s.name not in held]
+
+
 def file_day(name: Column) -> Column:
     """The day of a source file name as an expression; null for other names."""
     cutoff = F.regexp_extract(name, SNAPSHOT, 2)

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..functions import text as X
 from ..schema import TABLES
 from ..session import ship
+from . import files
 from .filenames import file_day
 
 VERSIONS = ("2.0",)
@@ -137,8 +138,9 @@ def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
                         held = []
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(held), pa.string()), pa.array(held, pa.string())], ["file_name_source", "xml"])
 
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    rows = files.repartition(max(1, len(paths))).mapInArrow(run, "file_name_source string, xml string")
+    archives = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+    # an archive is a split of its own; its bytes are parsed where they are read
+    rows = archives.mapInArrow(run, "file_name_source string, xml string")
     r = F.from_xml("xml", record_schema(), {"mode": "FAILFAST"})
     out = rows.select("file_name_source", file_day(F.col("file_name_source")).alias("file_dt_source"), r.alias("r"))
     serial = X.zero_filled(X.clean(F.col("r.`serial-number`")), 8)
@@ -195,25 +197,25 @@ def tables(recs: DataFrame) -> dict[str, DataFrame]:
 
 
 def ingested(spark: SparkSession, paths: Sequence[str], root: str) -> dict[str, DataFrame]:
-    """Parse archives that were not parsed before, and return all parsed rows by table.
+    """Parse archives that were not parsed before, and return the parsed rows of these archives by table.
 
-    Parsed parts lie under the parser's version.  The list of finished files is appended last, so
-    a run that broke off is parsed again.
+    Parsed rows lie under the parser's version, in a folder for each archive, which a run
+    overwrites; an archive's marker is written last.  A run that broke off is thus parsed
+    again without trace.
     """
     base = f"{root}/v{PARSER}"
-    done: set[str] = set()
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/files")
-    if fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs_path):
-        done = {r[0] for r in spark.read.parquet(f"{base}/files").distinct().collect()}  # one name per archive
-    new = [p for p in paths if p.rsplit("/", 1)[-1] not in done]
+    by_name = {p.rsplit("/", 1)[-1]: p for p in paths}
+    done = set(files.names(spark, f"{base}/finished"))
+    new = {n: p for n, p in by_name.items() if n not in done}
     if new:
-        names = [p.rsplit("/", 1)[-1] for p in new]
-        recs = records(spark, new).persist()
+        recs = records(spark, list(new.values())).persist()
         for t, df in tables(recs).items():
-            df.write.mode("append").option("compression", "zstd").parquet(f"{base}/{t}")
+            df.write.mode("overwrite").partitionBy("file_name_source").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(f"{base}/{t}")
         recs.unpersist()
-        spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.mode("append").parquet(f"{base}/files")
-    return {t: spark.read.schema(s).parquet(f"{base}/{t}") for t, s in TABLES.items()}
+        for name in new:
+            files.write_text(spark, f"{base}/finished/{name}", "")
+    rows = {t: spark.read.schema(s).parquet(f"{base}/{t}").select(*s.names) for t, s in TABLES.items()}
+    return {t: df.where(F.col("file_name_source").isin(list(by_name))) for t, df in rows.items()}
 
 
 def crc_problems(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -232,5 +234,5 @@ def crc_problems(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
                     found.append(str(err))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), batch.column(2)], ["path", "problem", "sha256"])
 
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content", F.sha2("content", 256).alias("sha256"))
-    return files.mapInArrow(run, "path string, problem string, sha256 string")
+    archives = spark.read.format("binaryFile").load(list(paths)).select("path", "content", F.sha2("content", 256).alias("sha256"))
+    return archives.mapInArrow(run, "path string, problem string, sha256 string")

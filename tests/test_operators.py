@@ -27,10 +27,11 @@ def test_pick_puts_nulls_last(spark):
 
 def test_gates_report_all_failures(spark):
     cases = spark.createDataFrame([("1", "2099-01-01", "f"), ("1", "1823-03-06", "g")], "serial_no string, filing_dt string, file_name_source string").withColumn("filing_dt", F.to_date("filing_dt"))
-    kids = spark.createDataFrame([("9",)], "serial_no string")
-    with pytest.raises(gates.GateError) as e:
-        gates.reconcile({"case_file": cases, "kid": kids}, "case_file", "serial_no", "2026-01-01", spark.createDataFrame([("f",)], "n string"), 3)
-    assert len(e.value.failures) == 5
+    kids = spark.createDataFrame([("9", "f")], "serial_no string, file_name_source string")
+    rows = {"case_file": cases, "kid": kids}
+    found = gates.failures(rows, "case_file", "serial_no", gates.date_profile(rows, "2026-01-01"), spark.createDataFrame([("f",)], "n string"), spark.range(3))
+    assert len(found) == 5 and str(gates.GateError(found)).count("\n") == 5
+    assert gates.failures({"case_file": cases.where("file_name_source = 'g'").drop("filing_dt").withColumn("d", F.lit("2020-01-01").cast("date"))}, "case_file", "serial_no", gates.date_profile({"c": cases.limit(0)}, "2026-01-01"), None, spark.range(1)) == []
     assert gates.ceiling_of("renewal_dt", "2026-01-01") == "2066-01-01" and gates.ceiling_of("filing_dt", "2026-01-01") == "2026-01-01"
 
 
@@ -104,3 +105,71 @@ def test_evidence_is_ordered(spark):
     df = spark.createDataFrame([("a", "x")] * 3 + [("a", "y")] * 5 + [("b", "z")], "op_key string, v string")
     got = {r.op_key: [(e["value"], e["n"]) for e in r.v] for r in audit.evidence(df, "op_key", {"v": 2}).collect()}
     assert got == {"a": [("y", 5), ("x", 3)], "b": [("z", 1)]}
+
+
+def test_running_and_quantiles_against_sorting(spark):
+    import numpy as np
+
+    from registrum.functions import stats
+
+    rng = np.random.default_rng(4)
+    # a skewed column: most values alike, a few far away
+    values = [*([7.0] * 3000), *rng.exponential(2.0, 2000).round(2), *(10.0**k for k in range(9)), None]
+    rows = [(("a", "b")[k % 3 == 0], None if v is None else float(v)) for k, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r for r in stats.quantiles(df, "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99, "top": 1.0}, ("g",)).collect()}
+    for g in "ab":
+        own = [v for h, v in rows if h == g and v is not None]
+        assert [got[g].p10, got[g].p50, got[g].p99, got[g].top] == pytest.approx(np.quantile(own, [0.1, 0.5, 0.99, 1.0]), abs=1e-4)
+    live = sorted(v for _, v in rows if v is not None)
+    for r in stats.ranked(df, "v").collect():
+        assert r["rank"] == (None if r.v is None else 1 + int(np.searchsorted(live, r.v)))
+    for p in (0.0, 0.02, 0.5, 0.98, 1.0):
+        assert stats.order_statistic(df, "v", p, "x").first().x == live[int(p * (len(live) - 1))]
+    assert stats.quantiles(df.where("v is null"), "v", {"p": 0.5}).first().p is None and stats.ranked(df.limit(0), "v").count() == 0
+
+
+def test_evaluation_of_a_pool(spark):
+    """Separable classes: signals above chance, a fitted model over the single ones, both cohorts alike."""
+    import random
+
+    from registrum.operators import evaluate
+
+    rng = random.Random(3)
+    rows, zipf = [], []
+    for k in range(3000):
+        y = int(k % 4 == 0)
+        pull = rng.gauss(1.2 * y, 1.0)
+        rows.append((str(k), y, f"m{k}", 0.5 + 0.1 * pull, 0.5 + 0.1 * rng.gauss(y, 2), rng.randint(0, 1), rng.randint(0, 1), int(rng.random() < 0.3 + 0.4 * y), rng.randint(0, 30) + 10 * y, rng.randint(0, 1), int(rng.random() < 0.3 - 0.2 * y), 2015 + k // 4 % 4))
+        zipf.append((str(k), 4.0 - y + rng.gauss(0, 1), 3.0 - y + rng.gauss(0, 1)))
+    pool = spark.createDataFrame(rows, "serial_no string, y int, mark_id_char string, ngram_coined double, ngram_whole double, single_token int, standard_char int, marketplace_class int, goods int, use_basis int, real_translation int, filing_year long")
+    frequencies = spark.createDataFrame(zipf, "serial_no string, max_zipf double, min_zipf double")
+    doc = evaluate.evaluate(pool, frequencies)
+    assert doc["pool"] == {"n": 3000, "sanctioned": 750} and all(0.5 < doc["auc"][c] < 1 for c in ("neg_min_zipf", "neg_max_zipf", "ngram_coined", "ngram_whole"))
+    assert doc["model"]["test_auc"] > doc["auc"]["ngram_coined"] and doc["comparison"]["transparent_test_auc"] > 0.7 and 0 < doc["comparison"]["fitted_brier"] < 0.25
+    cross = doc["comparison"]["cross_cohort"]
+    assert cross["split_year"] == 2016 and cross["coef_correlation"] > 0.8 and min(cross["early_fit_late_test_auc"], cross["late_fit_early_test_auc"]) > 0.7
+    few = evaluate.evaluate(pool.where("y = 0 or int(serial_no) < 40"), frequencies)
+    assert few["status"] and "auc" not in few
+    narrow = evaluate.evaluate(pool.where("filing_year > 2018 or int(serial_no) < 400"), frequencies)
+    assert narrow["model"]["status"] and narrow["auc"]
+
+
+def test_analysis_of_a_monthly_series(spark):
+    """A jump of the right size at the right month."""
+    from datetime import date
+
+    from registrum.operators import series
+
+    rows = []
+    for k in range(96):
+        day = date(2014 + k // 12, k % 12 + 1, 1)
+        after = day >= date(2019, 8, 1)
+        rows.append((day, 1000, 5000 if day != date(2019, 7, 1) else 20000, 8000, 0.78 if after else 0.55, 0.68, *(0.3 + 0.05 * after for _ in series.METRICS)))
+    extra = [m for m in series.METRICS if m not in ("n", "n_cn", "n_us", "atty_cn", "atty_us", "log_volume")]
+    table = spark.createDataFrame([(*r[:6], *r[6 : 6 + len(extra)]) for r in rows], "ym date, n long, n_cn long, n_us long, atty_cn double, atty_us double" + "".join(f", {m} double" for m in extra))
+    doc = series.analyzed(table)
+    assert doc["n_months"] == 96 and set(doc["behavioral_its"]) == set(series.METRICS)
+    shifts = [b["level_shift"] for b in doc["behavioral_its"][extra[0]]["breaks"].values()]
+    assert max(shifts) == pytest.approx(0.05, abs=0.01)
+    assert doc["us_counsel_did"]["did_estimate"] == pytest.approx(0.23, abs=1e-6) and doc["us_counsel_did"]["pre_deadline_rush_ratio"] == 4.0
