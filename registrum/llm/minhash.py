@@ -188,9 +188,9 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, words: int) -
 def _suspects(members: DataFrame, labels: DataFrame, classes: DataFrame, bounds: tuple[int, ...], percent: int) -> DataFrame:
     """Members of buckets that are not yet in one component, with the partners that no test has ruled out.
 
-    Rows (bucket, i, j, rep, partners) of block i against block j of a bucket: a row for every
-    member of a pair, the partners in the row of one of them; rows are no more than the block's
-    members.  Two sets whose sizes differ too much cannot be near, so a bucket falls into ranges
+    Rows (bucket, range, i, j, rep, place, partners) of block i against block j of a bucket: a row
+    for every member of a pair, the partners, a bit for each place, in the row of one of them; rows
+    are no more than the block's members.  Two sets whose sizes differ too much cannot be near, so a bucket falls into ranges
     of sizes, each met by itself and by the next, and only these into blocks.  A member travels
     with one byte of each minimum, whose chance agreements spare pairs and rule none out, and 32
     bits of each band's key, since a pair belongs to the first bucket that it shares.
@@ -239,16 +239,15 @@ def _suspects(members: DataFrame, labels: DataFrame, classes: DataFrame, bounds:
         p, q = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int))
         if not len(p):
             return None
-        order = np.argsort(p, kind="stable")
-        p, q = p[order], q[order]
-        own, begin = np.unique(p, return_index=True)
-        partners = dict(zip(own.tolist(), np.split(rep[q], begin[1:]), strict=True))
-        named = np.union1d(p, q).tolist()
-        first = t.slice(0, 1).to_pylist()[0]
+        named, place = np.unique(np.concatenate([p, q]), return_inverse=True)
+        bits = np.zeros((len(named), len(named)), dtype=bool)
+        bits[place[: len(p)], place[len(p) :]] = True
+        bits = np.packbits(bits, axis=1)
+        first = t.slice(0, 1).select(["bucket", "range", "i", "j"]).to_pylist()[0]
         columns = [pa.array([first[c]] * len(named), k) for c, k in (("bucket", pa.int64()), ("range", pa.int64()), ("i", pa.int32()), ("j", pa.int32()))]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(rep[named]), pa.array([partners.get(k, np.zeros(0, np.int64)) for k in named], pa.list_(pa.int64()))], ["bucket", "range", "i", "j", "rep", "partners"])
+        return pa.RecordBatch.from_arrays([*columns, pa.array(rep[named]), pa.array(np.arange(len(named), dtype=np.int32)), _binary([x.tobytes() for x in bits])], ["bucket", "range", "i", "j", "rep", "place", "partners"])
 
-    return grouped(rows, ["bucket", "range", "i", "j"], work, "bucket long, range long, i int, j int, rep long, partners array<long>")
+    return grouped(rows, ["bucket", "range", "i", "j"], work, "bucket long, range long, i int, j int, rep long, place int, partners binary")
 
 
 def _bytes(classes: DataFrame) -> DataFrame:
@@ -268,9 +267,9 @@ def _resolved(suspects: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that join the suspects of a block: exact comparison of all named pairs, a spanning forest out."""
 
     def work(t: pa.Table) -> pa.RecordBatch | None:
-        rep = t.column("rep").to_numpy()
-        held = {int(r): np.frombuffer(h.as_buffer(), np.uint64) for r, h in zip(rep, t.column("hashes"), strict=True)}
-        root = {r: r for r in held}
+        rep = dict(zip(t.column("place").to_pylist(), t.column("rep").to_pylist(), strict=True))
+        held = {k: np.frombuffer(h.as_buffer(), np.uint64) for k, h in zip(rep, t.column("hashes"), strict=True)}
+        root = {k: k for k in held}
 
         def top(k: int) -> int:
             while root[k] != k:
@@ -279,7 +278,8 @@ def _resolved(suspects: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             return k
 
         out = []
-        for u, partners in zip(rep.tolist(), t.column("partners").to_pylist(), strict=True):
+        for u, bits in zip(rep, t.column("partners"), strict=True):
+            partners = np.flatnonzero(np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8))).tolist()
             partners = [v for v in partners if v in held and top(v) != top(u)]
             if not partners:
                 continue
@@ -292,12 +292,12 @@ def _resolved(suspects: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 a, b = top(u), top(partners[k])
                 if a != b:
                     root[max(a, b)] = min(a, b)
-                    out.append((u, partners[k]))
+                    out.append((rep[u], rep[partners[k]]))
         if not out:
             return None
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
 
-    rows = suspects.join(sets, "rep").select("bucket", "range", "i", "j", "rep", "partners", "hashes")
+    rows = suspects.join(sets, "rep").select("bucket", "range", "i", "j", "rep", "place", "partners", "hashes")
     return grouped(rows, ["bucket", "range", "i", "j"], work, "a long, b long")
 
 
