@@ -46,56 +46,64 @@ class Encoder:
     """Token ids of whole texts, those of the tokenizer file at path.
 
     A byte-level BPE whose ids are its merge order is run by tiktoken, three times as fast; the
-    two libraries' ids are compared on a probe first.  A text that holds a special token's
-    string, and any other tokenizer, goes through `tokenizers`.
+    two libraries' ids are compared on a probe first, unless `trusted` says that they were.  A
+    text that holds a special token's string, and any other tokenizer, goes through
+    `tokenizers`, which is loaded only then: it takes more memory than all else in a worker.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, trusted: bool | None = None):
         import json
 
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self._slow = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         pre = spec.get("pre_tokenizer") or {}
         self.fast = None
-        if pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and spec.get("normalizer") is None:
+        if trusted is not False and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and spec.get("normalizer") is None:
             import tiktoken
 
-            byte = _byte_of()
-            ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
+            byte, vocab = _byte_of(), spec["model"]["vocab"]
+            del spec
+            ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in self.special}
             fast = tiktoken.Encoding("file", pat_str=PIECE, mergeable_ranks=ranks, special_tokens={})
-            if fast.encode_ordinary(_PROBE) == self.tokenizer.encode(_PROBE, add_special_tokens=False).ids:
+            if trusted or fast.encode_ordinary(_PROBE) == self.slow(_PROBE):
                 self.fast = fast.encode_ordinary
 
+    def slow(self, text: str) -> list[int]:
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self.path)
+        return self._slow.encode(text, add_special_tokens=False).ids
+
     def encode(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            return np.array(self.slow(text), dtype="<u4")
         return np.array(self.fast(text), dtype="<u4")
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per Python worker."""
+def encoder(path: str, trusted: bool | None = None) -> Encoder:
+    """One per process."""
     if path not in _encoders:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, trusted)
     return _encoders[path]
 
 
 def tokenized(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int) -> DataFrame:
     """part, begin (inside the part), id, n (tokens) and ids of every document."""
+    trusted = encoder(tokenizer).fast is not None  # the libraries are compared here, once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, at, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer)
+        part, at, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer, trusted)
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             ids = [np.concatenate([enc.encode(t or ""), end]) for t in batch.column(1).to_pylist()]
