@@ -114,7 +114,7 @@ def sketches(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n)) + row), batch.column(0), pa.array(n.astype(np.int64)), _long(f1), _long(f2), _binary(sig)], ["row", "id", "n_shingles", "f1", "f2", "sig"])
             row += len(n)
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "row long, id long, n_shingles long, f1 long, f2 long, sig binary")
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(K.sliced(run), "row long, id long, n_shingles long, f1 long, f2 long, sig binary")
 
 
 def _band_keys(sig: np.ndarray) -> np.ndarray:
@@ -148,7 +148,7 @@ def _prune(pairs: DataFrame, signatures: DataFrame, bounds: tuple[int, ...]) ->
 
     left = signatures.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a"))
     right = signatures.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(K.sliced(run), "a long, b long")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -166,7 +166,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("set_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("hashes").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(K.sliced(run), "a long, b long")
 
 
 def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, words: int) -> DataFrame:
@@ -182,7 +182,7 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, words: int) -
             yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), _binary(out)], ["rep", "hashes"])
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.join(wanted, "id").select("text", "f1", "f2", "rep").mapInArrow(run, "rep long, hashes binary")
+    return rows.join(wanted, "id").select("text", "f1", "f2", "rep").mapInArrow(K.sliced(run), "rep long, hashes binary")
 
 
 def _suspects(members: DataFrame, labels: DataFrame, classes: DataFrame, bounds: tuple[int, ...], percent: int) -> DataFrame:
@@ -394,4 +394,4 @@ def _marked(rows: DataFrame, text: str, words: int) -> DataFrame:
             n, f1, f2 = np.array([_sketch(s) for s in K.shingle_sets(batch.column(at).cast(pa.string()), words)], np.uint64).reshape(-1, 3).T
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n.astype(np.int64)), _long(f1), _long(f2)], names)
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in names[-3:])]))
+    return rows.mapInArrow(K.sliced(run), T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in names[-3:])]))

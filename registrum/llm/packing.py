@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import kernel as K
 from .workspace import Workspace
 
 LENGTH = 2048
@@ -114,7 +115,7 @@ def tokenized(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int)
             ids = [(x.astype("<u2") if x.max() < 65536 else x).tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays([pa.array([part] * len(n), pa.int32()), pa.array(begin), batch.column(0), pa.array(n), pa.array(ids, pa.binary())], ["part", "begin", "id", "n", "ids"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "part int, begin long, id long, n long, ids binary")
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(K.sliced(run), "part int, begin long, id long, n long, ids binary")
 
 
 def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -149,4 +150,4 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     rows = tokens.join(offsets, "part").select((F.col("base") + F.col("begin")).alias("begin"), "id", "n", "ids")
-    return rows.mapInArrow(run, "id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return rows.mapInArrow(K.sliced(run), "id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

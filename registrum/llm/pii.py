@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kernel as K
+
 KINDS = ("email", "ip", "card", "phone")
 #: a kind's threshold is the least calibrated probability from which this part of the held-out candidates is right
 PRECISION = 0.99
@@ -400,7 +402,7 @@ def found(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return rows.mapInArrow(K.sliced(run), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 
 def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", threshold: float | None = None) -> DataFrame:
@@ -425,4 +427,4 @@ def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars
             yield pa.RecordBatch.from_arrays(columns, positions)
 
     plain = docs.toDF(*positions)
-    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(K.sliced(run), plain.schema).toDF(*docs.columns)

@@ -91,7 +91,7 @@ def counts(rows: DataFrame, text: str) -> DataFrame:
             got = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(6)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x.astype(np.int64)) for x in got)], names)
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in (*COUNTS, "n_lines"))]))
+    return rows.mapInArrow(K.sliced(run), T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in (*COUNTS, "n_lines"))]))
 
 
 def base_failed():
