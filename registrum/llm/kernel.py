@@ -46,14 +46,19 @@ def sliced(run):
         try:
             yield from run(slices(batches))
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            release()
 
     return wrapped
 
 
+def release() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _powers(n: int) -> np.ndarray:
     global _pow
     if len(_pow) < n:

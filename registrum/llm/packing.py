@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -97,9 +98,17 @@ def encoder(path: str, trusted: bool | None = None) -> Encoder:
     return _encoders[path]
 
 
+@lru_cache
+def _agrees(path: str) -> bool:
+    """Whether the fast library gives the file's ids on the probe; the driver compares once and keeps neither."""
+    out = Encoder(path).fast is not None
+    K.release()
+    return out
+
+
 def tokenized(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int) -> DataFrame:
     """part, begin (inside the part), id, n (tokens) and ids of every document."""
-    trusted = encoder(tokenizer).fast is not None  # the libraries are compared here, once
+    trusted = _agrees(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
