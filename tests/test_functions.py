@@ -24,6 +24,21 @@ def test_canonical_name(spark, name, want):
     assert one(spark, text.canonical_name(F.col("n")), n=name) == want
 
 
+def test_keys_of_other_letters_equal_their_sql(spark):
+    """Letters that have no single capital, and letters beside AND."""
+    import duckdb
+    import pandas as pd
+
+    from registrum import queries as Q
+
+    names = [*(f"rivers mo{c}er dana{c}" for c in text.UNPAIRED), *(f"dana rivers {c}and jo fox" for c in "\u00e9\u00df\u00b5\u4e2d_x1"), "chte er\u00dfie", "\u0131da \u017fol", "ana\u000bfox\u00a0day", None]
+    t = pd.DataFrame({"k": range(len(names)), "n": names})  # noqa: F841
+    want = duckdb.sql(f"SELECT k, {Q._CANON} AS name, nullif(regexp_replace(upper(concat_ws(' ', n)), '[^A-Z0-9]', '', 'g'), '') AS addr FROM {Q._CANON_FROM.format('n', 't')} ORDER BY k").fetchall()
+    df = spark.createDataFrame(list(enumerate(names)), "k int, n string")
+    got = df.select("k", text.canonical_name(F.col("n")).alias("name"), text.address_key(F.col("n")).alias("addr")).orderBy("k").collect()
+    assert [tuple(r) for r in got] == want
+
+
 def test_keys(spark):
     assert one(spark, text.address_key(F.col("a"), F.col("b")), a="1 Main St.", b=None) == "1MAINST"
     assert one(spark, text.address_key(F.col("a"), F.col("b")), a="", b=None) is None
