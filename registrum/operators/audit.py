@@ -107,16 +107,18 @@ def top_decile_jaccard(left: DataFrame, right: DataFrame, key: str, value: str)
     return both.agg(F.try_divide(F.count_if(a & b).cast("double"), F.nullif(F.count_if(a | b), F.lit(0)).cast("double")).alias("jaccard"))
 
 
-def colocated(rows: DataFrame, addr: str, name: str, aggregates: Mapping[str, Column], score: Column, min_filings: int = 5, name_hub: int = 50, addr_hub: int = 25, top: int = 200) -> DataFrame:
+def colocated(rows: DataFrame, addr: str, name: str, aggregates: Mapping[str, Column], score: Column, min_filings: int = 5, name_hub: int = 50, addr_hub: int = 25, top: int = 200, in_turn: bool = False) -> DataFrame:
     """Addresses where several non-hub names meet and at least one scores high.
 
     Groups (addr, name) of min_filings or more are scored; names at more than name_hub
     addresses and addresses of more than addr_hub names are left out; kept are addresses
     with two names or more and a best score of at least the groups' 75th percentile.
+    An address's names are counted with the hubs among them, or without if in_turn.
     Columns: addr, n_names, n_peculiar (score of that percentile or more), max_score, n_filings.
     """
     live = rows.where(F.col(addr).isNotNull() & F.col(name).isNotNull())
-    live = live.join(grouping.hubs(live, name, addr, name_hub), name, "left_anti").join(grouping.hubs(live, addr, name, addr_hub), addr, "left_anti")
+    clear = live.join(written(grouping.hubs(live, name, addr, name_hub), "hubs"), name, "left_anti")
+    live = clear.join(grouping.hubs(clear if in_turn else live, addr, name, addr_hub), addr, "left_anti")
     groups = live.groupBy(addr, name).agg(F.count("*").alias("n"), *(v.alias(k) for k, v in aggregates.items())).where(F.col("n") >= min_filings).withColumn("score", rounded(score))
     groups = written(groups.select(addr, name, "n", "score"), "groups")
     cut = quantiles(groups, "score", {"p75": 0.75}, digits=6).select(F.coalesce("p75", F.lit(1e9)).alias("p75"))

@@ -101,6 +101,25 @@ def test_audit_sample_takes_largest_and_quotas(spark):
     assert {r.op_key for r in got} == {r.op_key for r in audit.audit_sample(ops.repartition(7)).collect()}
 
 
+def test_colocation_counts_names_with_or_without_hubs(spark, tmp_path):
+    """An address of 50 names, ten of them hubs, is none itself once the hubs are left out, as in the SQL."""
+    import compare
+    import duckdb
+
+    from registrum import queries as Q
+
+    pairs = [(1, s) for s in range(50)] + [(2, s) for s in range(50, 60)] + [(p, s) for s in range(10) for p in range(10, 640)]
+    rows = [(3 * k + j, p, s, j + 1, 30.0 * j, "R", "F") for k, (p, s) in enumerate(pairs) for j in range(2)]
+    table = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string")
+    table.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = Q.queries()["colocation"](spark, str(tmp_path)).toPandas()
+    duckdb.execute(f"CREATE OR REPLACE TEMP VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = duckdb.execute(Q.oracle_sql()["colocation"]).df()
+    assert compare.rows(got) == compare.rows(want) and set(got.l_partkey) == {1, 2}
+    both = audit.colocated(table, "l_partkey", "l_suppkey", {"coined_rate": F.avg("l_quantity")}, F.col("coined_rate"), 2, 620, 45)
+    assert [r.l_partkey for r in both.collect()] == [2]
+
+
 def test_evidence_is_ordered(spark):
     df = spark.createDataFrame([("a", "x")] * 3 + [("a", "y")] * 5 + [("b", "z")], "op_key string, v string")
     got = {r.op_key: [(e["value"], e["n"]) for e in r.v] for r in audit.evidence(df, "op_key", {"v": 2}).collect()}
