@@ -48,6 +48,7 @@ def variants_compared(base: DataFrame, variants: Mapping[str, grouping.Variant],
     scores: dict[str, DataFrame] = {}
     heads: dict[str, DataFrame] = {}
     out = None
+    base = measured(base, list(variants.values()), name, addr)
     for label, variant in variants.items():
         ops, filings = filing_scores(base, variant, name, addr, aggregates, min_marks, weights)
         filings = written(filings.select(key, "op_key", "score"), "filings")
@@ -72,9 +73,14 @@ def evidence(members: DataFrame, key: str, values: Mapping[str, int]) -> DataFra
     return out
 
 
+def measured(base: DataFrame, variants: Sequence[grouping.Variant], name: str, addr: str) -> DataFrame:
+    """base with the degrees that the variants need, written once for all of them."""
+    return written(grouping.measured(base, variants, name, addr), "measured")
+
+
 def filing_scores(base: DataFrame, variant: grouping.Variant, name: str, addr: str, aggregates: Mapping[str, Column], min_marks: int, weights: Mapping[str, float] = WEIGHTS) -> tuple[DataFrame, DataFrame]:
-    """(operations with score, filings with op_key and score) under one grouping variant."""
-    rows = grouping.assigned(base, variant, name, addr)
+    """(operations with score, filings with op_key and score) under one grouping variant; base may come from measured()."""
+    rows = grouping.laddered(base if "__nd" in base.columns else measured(base, [variant], name, addr), variant)
     ops = rows.groupBy("op_key").agg(F.count("*").alias("n_marks"), *(v.alias(k) for k, v in aggregates.items())).where(F.col("n_marks") >= min_marks)
     ops = written(ops.withColumn("score", rounded(weighted_score(weights))), "operations")
     return ops, rows.join(ops.select("op_key", "score"), "op_key")

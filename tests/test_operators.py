@@ -62,6 +62,30 @@ def test_grouping_ladder_against_brute_force(spark, mode):
         assert got == keys(rows, mode, *caps)
 
 
+@pytest.mark.parametrize("query", ["top_decile_jaccard"])
+def test_variants_share_one_table_of_pairs(spark, monkeypatch, query):
+    """Whatever the number of variants, pairs are made distinct once and line items meet the hubs once."""
+    from registrum import queries as Q
+
+    names = []
+    for module in (grouping, audit):
+        monkeypatch.setattr(module, "written", lambda df, name, w=module.written: names.append(name) or w(df, name))
+    got = Q.queries()[query](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == 1 and [names.count(x) for x in ("pairs", "measured", "degrees", "operations")] == [1, 1, 2, 2]
+
+
+@pytest.mark.parametrize("rows_at_most", [0, 10**6])
+def test_hubs_met_by_broadcast_and_by_shuffle(spark, monkeypatch, rows_at_most):
+    """Equal keys for numbers and texts, and for degrees measured for several variants at once."""
+    monkeypatch.setattr(grouping, "BROADCAST_ROWS", rows_at_most)
+    rows = [(k, None if k % 11 == 0 else k % 7, None if k % 13 == 0 else (k * k) % 19) for k in range(300)]
+    variants = [grouping.Variant(m, *c) for m in ("name_first", "addr_first", "name_only", "addr_only") for c in ((3, 2), (8, 1), (50, 25))]
+    both = grouping.measured(spark.createDataFrame(rows, "s int, name long, addr long"), variants)
+    for v in variants:
+        want = keys([(s, n if n is None else str(n), a if a is None else str(a)) for s, n, a in rows], v.mode, v.name_cap, v.addr_cap)
+        assert {r.s: r.op_key for r in grouping.laddered(both, v).collect()} == want
+
+
 WORDS = "the quick brown fox jumps over lazy dog mountain river garden silver golden summer winter little bright market village story".split() * 10
 
 
