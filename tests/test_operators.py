@@ -62,7 +62,7 @@ def test_grouping_ladder_against_brute_force(spark, mode):
         assert got == keys(rows, mode, *caps)
 
 
-@pytest.mark.parametrize("query", ["top_decile_jaccard"])
+@pytest.mark.parametrize("query", ["top_decile_jaccard", "spearman_variants"])
 def test_variants_share_one_table_of_pairs(spark, monkeypatch, query):
     """Whatever the number of variants, pairs are made distinct once and line items meet the hubs once."""
     from registrum import queries as Q
