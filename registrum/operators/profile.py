@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import rate, rounded
 from ..functions.text import address_key, canonical_name, item_count, mark_key, single_token
+from ..session import written
 from . import merge
 
 #: fixed values: codes and thresholds of the registry's analytics
@@ -86,24 +87,39 @@ def aggregates() -> dict[str, Column]:
     return {"owner_turnover": turnover, "coined_rate": mean("coined"), "marketplace_rate": mean("mkt"), "use1a_rate": mean("use1a"), "goods_chaos": F.least(mean("goods") / 20.0, F.lit(1.0))}
 
 
-def operation_profile(rows: DataFrame, key: str = "op_key", min_marks: int = MIN_MARKS) -> DataFrame:
+def _distinct(rows: DataFrame, key: str, column: str, out: str) -> DataFrame:
+    """(key, out): the distinct values of column, nulls not counted."""
+    return rows.where(F.col(column).isNotNull()).select(key, column).distinct().groupBy(key).agg(F.count("*").alias(out))
+
+
+def operation_profile(rows: DataFrame, key: str = "op_key", min_marks: int = MIN_MARKS, screening: bool = False) -> DataFrame:
     """One row per operation of min_marks filings or more.
 
     rows: key, attorney_name, name, addr, applicant, country, coined, mkt, use1a, design, goods,
-    refused, no_use (numbers 0 and 1) and filing_dt.
+    refused, no_use (numbers 0 and 1) and filing_dt.  screening leaves out the columns that no
+    list reads: spellings, addresses, rates other than those of a shared service, years, days and score.
+
+    Rows are written once; each distinct count has a pass of its own, which moves two columns only.
     """
-    day = rows.groupBy(key, "filing_dt").agg(F.count("*").alias("n")).groupBy(key).agg(F.max("n").alias("max_marks_one_day"))
-    n = F.count("*").cast("double")
+    counted = {"n_canonical_names": "name", "owner_turnover": "applicant"} | ({} if screening else {"n_name_spellings": "attorney_name", "n_addresses": "addr"})
+    numbers = ("coined", "goods") if screening else ("coined", "goods", "mkt", "use1a", "design", "refused", "no_use")
+    rows = written(rows.select(key, *counted.values(), "country", *numbers, *(() if screening else ("filing_dt",))), "filings")
     mean = lambda c: F.avg(F.col(c).cast("double"))
-    ops = rows.groupBy(key).agg(
-        F.count("*").alias("n_marks"), F.count_distinct("attorney_name").alias("n_name_spellings"), F.count_distinct("name").alias("n_canonical_names"), F.count_distinct("addr").alias("n_addresses"),
-        (F.count_distinct("applicant") / n).alias("owner_turnover"), rate(F.col("country") == "CN").alias("pct_cn"), mean("coined").alias("coined_rate"), mean("mkt").alias("marketplace_rate"), mean("use1a").alias("use1a_rate"),
-        mean("design").alias("design_rate"), mean("goods").alias("avg_goods_items"), F.least(mean("goods") / 20.0, F.lit(1.0)).alias("goods_chaos"), mean("refused").alias("refusal_rate"), mean("no_use").alias("no_use_abandon_rate"),
-        F.year(F.min("filing_dt")).cast("long").alias("first_year"), F.year(F.max("filing_dt")).cast("long").alias("last_year"),
-    ).where(F.col("n_marks") >= min_marks)
-    ops = ops.join(day, key).withColumn("peculiarity_score", rounded(weighted_score(WEIGHTS)))
+    shares = {"n_marks": F.count("*"), "pct_cn": rate(F.col("country") == "CN"), "coined_rate": mean("coined"), "avg_goods_items": mean("goods")}
+    if not screening:
+        shares |= {"marketplace_rate": mean("mkt"), "use1a_rate": mean("use1a"), "design_rate": mean("design"), "refusal_rate": mean("refused"), "no_use_abandon_rate": mean("no_use")}
+        shares |= {"goods_chaos": F.least(mean("goods") / 20.0, F.lit(1.0)), "first_year": F.year(F.min("filing_dt")).cast("long"), "last_year": F.year(F.max("filing_dt")).cast("long")}
+    ops = rows.groupBy(key).agg(*(c.alias(name) for name, c in shares.items())).where(F.col("n_marks") >= min_marks)
+    for out, column in counted.items():
+        ops = ops.join(_distinct(rows, key, column, out), key, "left").withColumn(out, F.coalesce(out, F.lit(0)))
+    ops = ops.withColumn("owner_turnover", F.col("owner_turnover") / F.col("n_marks").cast("double"))
     shared = (F.col("n_canonical_names") >= 20) & (F.col("coined_rate") < 0.20) & (F.col("pct_cn") < 0.30) & (F.col("avg_goods_items") < 6)
-    return ops.withColumn("is_shared_service", shared)
+    if screening:
+        return ops.withColumn("is_shared_service", shared)
+    day = rows.groupBy(key, "filing_dt").agg(F.count("*").alias("n")).groupBy(key).agg(F.max("n").alias("max_marks_one_day"))
+    ops = ops.join(day, key).withColumn("peculiarity_score", rounded(weighted_score(WEIGHTS))).withColumn("is_shared_service", shared)
+    columns = "n_marks n_name_spellings n_canonical_names n_addresses owner_turnover pct_cn coined_rate marketplace_rate use1a_rate design_rate avg_goods_items goods_chaos refusal_rate no_use_abandon_rate first_year last_year max_marks_one_day peculiarity_score is_shared_service"
+    return ops.select(key, *columns.split())
 
 
 def tier2_score() -> Column:

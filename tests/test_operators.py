@@ -86,6 +86,22 @@ def test_hubs_met_by_broadcast_and_by_shuffle(spark, monkeypatch, rows_at_most):
         assert {r.s: r.op_key for r in grouping.laddered(both, v).collect()} == want
 
 
+def test_profile_moves_no_copies_of_rows(spark):
+    """No plan expands rows once per distinct count; nulls count nowhere, and a screening profile agrees with the whole one."""
+    from registrum.operators import profile
+
+    rows = [("N:a", None, "a", k % 3, None if k % 2 else k, "CN", k % 2, 1, None, 0, None if k % 5 else 3, 0, 0, f"2020-01-0{k % 4 + 1}") for k in range(20)] + [("N:b", "x", None, None, None, None, *[None] * 7, None)] * 20 + [("N:c", "y", "c", 1, 1, "US", *[1] * 7, "2021-01-01")]
+    df = spark.createDataFrame(rows, "op_key string, attorney_name string, name string, addr int, applicant int, country string, coined int, mkt int, use1a int, design int, goods int, refused int, no_use int, d string").withColumn("filing_dt", F.to_date("d"))
+    got = profile.operation_profile(df)
+    few = profile.operation_profile(df, screening=True)
+    for out in (got, few):
+        assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert few.exceptAll(got.select(few.columns)).isEmpty() and few.count() == got.count()
+    a, b = sorted(got.collect(), key=lambda r: r.op_key)
+    assert (a.op_key, a.n_marks, a.n_name_spellings, a.n_canonical_names, a.n_addresses, a.owner_turnover, a.pct_cn, a.coined_rate, a.use1a_rate, a.avg_goods_items, a.max_marks_one_day, a.first_year) == ("N:a", 20, 0, 1, 3, 0.5, 1.0, 0.5, None, 3.0, 5, 2020)
+    assert (b.op_key, b.n_name_spellings, b.n_canonical_names, b.owner_turnover, b.pct_cn, b.goods_chaos, b.max_marks_one_day, b.first_year, b.is_shared_service) == ("N:b", 1, 0, 0.0, None, 1.0, 20, None, False)
+
+
 WORDS = "the quick brown fox jumps over lazy dog mountain river garden silver golden summer winter little bright market village story".split() * 10
 
 
