@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +20,17 @@ def rate(condition: Column) -> Column:
     return F.avg(condition.cast("int").cast("double"))
 
 
+def packed(conditions: Sequence[Column]) -> Column:
+    """Conditions, true, false or null, as one number of two bits each: rows that move stay narrow."""
+    return reduce(lambda a, b: a + b, (F.coalesce(c.cast("int"), F.lit(2)).cast("long") * 4**k for k, c in enumerate(conditions)))
+
+
+def unpacked(c: Column, k: int) -> Column:
+    """The condition of place k in packed()."""
+    bits = F.shiftright(c, 2 * k).bitwiseAND(F.lit(3))
+    return F.when(bits != 2, bits == 1)
+
+
 def wilson(k: Column, n: Column, z: float = 1.96) -> tuple[Column, Column]:
     """Bounds of the Wilson interval, within 0 and 1; (0, 0) for n = 0."""
     k, n = k.cast("double"), F.nullif(n, F.lit(0)).cast("double")

@@ -78,10 +78,33 @@ def measured(base: DataFrame, variants: Sequence[grouping.Variant], name: str, a
     return written(grouping.measured(base, variants, name, addr), "measured")
 
 
+#: rows that one task of an aggregation by operation gets, about; an operation of more is not left to one task
+TASK_ROWS = 1_000_000
+
+
+def by_operation(rows: DataFrame, *aggregates: Column) -> DataFrame:
+    """aggregates of each op_key; every row moves once, as it is.
+
+    Distinct counts would move a buffer for each row by key and value, and one more by key.
+    An operation of over TASK_ROWS rows, or a thousandth of all, takes that way, so it is spread over all tasks.
+    """
+    total = rows.count()
+    parts, tracked = max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_ROWS)), 1000
+    large: list[str] = []
+    if total > TASK_ROWS:
+        top = rows.agg(F.expr(f"approx_top_k(op_key, {tracked}, {16 * tracked})").alias("t")).first()["t"]  # for balance only: any list gives the same rows
+        large = [x["item"] for x in top if x["count"] > max(TASK_ROWS, total // tracked)]
+    if not large:
+        return rows.repartition(parts, "op_key").groupBy("op_key").agg(*aggregates)
+    inside = F.col("op_key").isin(large)
+    few = rows.where(inside).groupBy("op_key").agg(*aggregates)
+    return rows.where(~inside).repartition(parts, "op_key").groupBy("op_key").agg(*aggregates).unionByName(few)
+
+
 def filing_scores(base: DataFrame, variant: grouping.Variant, name: str, addr: str, aggregates: Mapping[str, Column], min_marks: int, weights: Mapping[str, float] = WEIGHTS) -> tuple[DataFrame, DataFrame]:
     """(operations with score, filings with op_key and score) under one grouping variant; base may come from measured()."""
-    rows = grouping.laddered(base if "__nd" in base.columns else measured(base, [variant], name, addr), variant)
-    ops = rows.groupBy("op_key").agg(F.count("*").alias("n_marks"), *(v.alias(k) for k, v in aggregates.items())).where(F.col("n_marks") >= min_marks)
+    rows = grouping.laddered(base if "__nd" in base.columns else measured(base, [variant], name, addr), variant, name=name, addr=addr)
+    ops = by_operation(rows, F.count("*").alias("n_marks"), *(v.alias(k) for k, v in aggregates.items())).where(F.col("n_marks") >= min_marks)
     ops = written(ops.withColumn("score", rounded(weighted_score(weights))), "operations")
     return ops, rows.join(ops.select("op_key", "score"), "op_key")
 

@@ -74,6 +74,39 @@ def test_variants_share_one_table_of_pairs(spark, monkeypatch, query):
     assert len(got) == 1 and [names.count(x) for x in ("pairs", "measured", "degrees", "operations")] == [1, 1, 2, 2]
 
 
+@pytest.mark.parametrize("task_rows", [10**6, 20])
+def test_rows_move_once_to_their_operation(spark, monkeypatch, task_rows):
+    """Operations take one shuffle of rows as they are, unless they are large; the signals are not moved twice."""
+    from collections import defaultdict
+
+    saved = {}
+    monkeypatch.setattr(audit, "written", lambda df, name, w=audit.written: saved.setdefault(name, df) and w(df, name))
+    monkeypatch.setattr(audit, "TASK_ROWS", task_rows, raising=False)
+    rows = [(k // 3, f"n{k % 5 if k % 4 else k}", f"a{k % 37}", None if k % 6 == 0 else k % 2 == 0) for k in range(400)]
+    df = spark.createDataFrame(rows, "s int, name string, addr string, flag boolean")
+    ops, filings = audit.filing_scores(df, grouping.Variant("name_first", 50, 25), "name", "addr", {"owner_turnover": F.count_distinct("s") / F.count("*").cast("double"), "coined_rate": F.avg(F.col("flag").cast("int"))}, 2, {"owner_turnover": 0.5, "coined_rate": 0.5})
+    assert saved["measured"].columns == ["s", "name", "addr", "flag", "__nd", "__ad"]
+    moves = saved["operations"]._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(")
+    assert (moves == 1) if task_rows > 400 else (moves > 1)
+    want = defaultdict(list)
+    found = keys([(k, *r[1:3]) for k, r in enumerate(rows)], "name_first", 50, 25)
+    for k, op in found.items():
+        want[op].append(rows[k])
+    want = {op: (len(v), len({r[0] for r in v}) / len(v)) for op, v in want.items() if len(v) >= 2}
+    assert {r.op_key: (r.n_marks, r.owner_turnover) for r in ops.collect()} == want
+    assert filings.count() == sum(n for n, _ in want.values())
+
+
+def test_packed_conditions(spark):
+    from itertools import product
+
+    from registrum.functions import stats
+
+    rows = list(product([True, False, None], repeat=3))
+    df = spark.createDataFrame(rows, "a boolean, b boolean, c boolean").withColumn("p", stats.packed([F.col(x) for x in "abc"]))
+    assert all(r[:3] == r[3:] for r in df.select("a", "b", "c", *(stats.unpacked(F.col("p"), k) for k in range(3))).collect())
+
+
 @pytest.mark.parametrize("rows_at_most", [0, 10**6])
 def test_hubs_met_by_broadcast_and_by_shuffle(spark, monkeypatch, rows_at_most):
     """Equal keys for numbers and texts, and for degrees measured for several variants at once."""
